@@ -9,6 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from kinspan.llm.common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinspan.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinspan.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinspan.llm.quality_classifier import score
 
@@ -34,7 +46,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_quality_classifier, op6_sharding, op8_mixing, op9_language_id)}
+    return {f.__name__: f for f in (op1_warc, op2_substring_dedup, op4_quality_classifier, op6_sharding, op8_mixing, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
