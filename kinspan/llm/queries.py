@@ -45,8 +45,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinspan.llm.suffix_dedup import suffix_dedup
+
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_substring_dedup, op4_quality_classifier, op6_sharding, op8_mixing, op9_language_id)}
+    return {f.__name__: f for f in (op1_warc, op2_substring_dedup, op4_quality_classifier, op6_sharding, op8_mixing, op9_language_id, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
