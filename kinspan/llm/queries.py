@@ -33,6 +33,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinspan.llm.ngram_join import ngram_groups
+
+    return ngram_groups(table(spark, sf_dir, "documents"), shingle=3, num=90, den=100, lower=True).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinspan.llm.mixing import pareto_mix
 
@@ -52,7 +58,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_substring_dedup, op4_quality_classifier, op6_sharding, op8_mixing, op9_language_id, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_warc, op2_substring_dedup, op4_quality_classifier, op6_sharding, op7_ngram_join, op8_mixing, op9_language_id, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
