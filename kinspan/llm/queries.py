@@ -21,12 +21,24 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinspan.llm.decontamination import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinspan.llm.quality_classifier import score
 
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinspan.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinspan.llm.sharding import kd_shards
 
@@ -58,7 +70,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc, op2_substring_dedup, op4_quality_classifier, op6_sharding, op7_ngram_join, op8_mixing, op9_language_id, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_warc, op2_substring_dedup, op3_decontamination, op4_quality_classifier, op5_quality_rules, op6_sharding, op7_ngram_join, op8_mixing, op9_language_id, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
