@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinspan.llm.common import byte_prefix, materialize, span_hash, text_buffer
+from kinspan.llm.common import byte_prefix, materialize, mix, span_hash, text_buffer
 
 SEED = 40  # bytes of an anchor's own string
 SEGMENT = 1 << 19
@@ -59,6 +59,31 @@ def anchors(col, length: int, seed: int = SEED):
             yield row[first], a + first - offs[row[first]], n, p - first, h[p], span_hash(prefix, first, first + n + length - 1)
 
 
+def _once(row, s, n, off, g, c, length: int):
+    """Runs that a row has several times over become one, marked, and ranges of the row (n = 0) that those cover.
+
+    (row, s, e, n, off, g, c, many): so a text that repeats itself sends each of its strings but once."""
+    order = np.lexsort((s, c, g, row))
+    row, s, n, off, g, c = (x[order] for x in (row, s, n, off, g, c))
+    e = s + n + length - 1
+    first = np.ones(len(row), bool)
+    first[1:] = (row[1:] != row[:-1]) | (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+    times = np.diff(np.append(np.flatnonzero(first), len(row)))
+    inside = np.repeat(times > 1, times)
+    key = row[inside].astype(np.int64) << 32
+    lo, hi = key | s[inside], key | e[inside]
+    order = np.argsort(lo, kind="stable")
+    lo, hi = lo[order], np.maximum.accumulate(hi[order])
+    new = np.ones(len(lo), bool)
+    new[1:] = lo[1:] > hi[:-1]
+    at = np.flatnonzero(new)
+    last = hi[np.append(at[1:], len(hi)) - 1] if len(at) else hi
+    low = (1 << 32) - 1
+    zero = np.zeros(len(at), np.int64)
+    return (np.concatenate([row[first], lo[at] >> 32]), np.concatenate([s[first], lo[at] & low]), np.concatenate([e[first], last & low]), np.concatenate([n[first], zero]), np.concatenate([off[first], zero]),
+            np.concatenate([g[first], mix(lo[at].astype(np.uint64) + g[:1])]), np.concatenate([c[first], zero.astype(np.uint64)]), np.concatenate([times > 1, zero > 0]))
+
+
 def _common(x: bytes, y: bytes) -> int:
     """Bytes that x and y start with alike."""
     n = min(len(x), len(y))
@@ -140,18 +165,19 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
 
         for batch in batches:
             ids, ths = batch.column("doc_id"), batch.column("th")
-            for row, s, n, off, g, c in anchors(batch.column("text"), length):
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), ths.take(pa.array(row)), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(off.astype(np.int16)), pa.array(g.view(np.int64)), pa.array(c.view(np.int64))], names=["doc_id", "th", "s", "n", "off", "g", "c"])
+            for found in anchors(batch.column("text"), length):
+                row, s, e, n, off, g, c, many = _once(*found, length)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), ths.take(pa.array(row)), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(off.astype(np.int16)), pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(many)], names=["doc_id", "th", "s", "e", "n", "off", "g", "c", "many"])
 
-    found = docs.mapInArrow(find, f"doc_id {schema_id}, th long, s int, n short, off short, g long, c long")
+    found = docs.mapInArrow(find, f"doc_id {schema_id}, th long, s int, e int, n short, off short, g long, c long, many boolean")
     of_class = Window.partitionBy("g", "c")
     of_seed = Window.partitionBy("g")
     # one shuffle by g serves all three windows
-    found = found.repartition("g").withColumn("cnt", F.count("*").over(of_class)).withColumn("nth", F.row_number().over(of_class.orderBy("doc_id", "th", "s")))
+    found = found.repartition("g").withColumn("cnt", F.sum(F.when(F.col("many"), 2).otherwise(1)).over(of_class)).withColumn("nth", F.row_number().over(of_class.orderBy("doc_id", "th", "s")))
     found = found.withColumn("m", F.sum((F.col("nth") == 1).cast("int")).over(of_seed))
-    found = materialize(found.where("cnt > 1 or m > 1").select("doc_id", "th", "s", "n", "off", "g", (F.col("cnt") == 1).alias("one"), (F.col("nth") == 1).alias("rep"), "m"), "anchors")
-    whole = found.where(~F.col("one")).select("doc_id", "th", "s", (F.col("s") + F.col("n") + F.lit(length - 1)).cast("int").alias("e"))
-    want = found.where("m > 1 and rep").groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "s", "n", "off", "one", "m")).alias("want"))
+    found = materialize(found.where("n = 0 or cnt > 1 or m > 1").select("doc_id", "th", "s", "e", "n", "off", "g", (F.col("cnt") == 1).alias("one"), (F.col("nth") == 1).alias("rep"), "m"), "anchors")
+    whole = found.where((F.col("n") == 0) | ~F.col("one")).select("doc_id", "th", "s", "e")
+    want = found.where("n > 0 and m > 1 and rep").groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "s", "n", "off", "one", "m")).alias("want"))
     held = docs.join(want, ["doc_id", "th"]).select("doc_id", "th", "text", "want").mapInArrow(lambda x: _contexts(x, length), f"g long, s int, n short, off short, one boolean, m long, doc_id {schema_id}, th long, data binary")
 
     def scan(batches):
@@ -162,16 +188,16 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
         for _, rows in _groups(batches):
             left = [r[-1][: r[1]][::-1] for r in rows]
             right = [r[-1][r[1] :] for r in rows]
-            best: dict[int, set] = {}
+            best: dict[int, tuple[int, int]] = {}
             for group, before, after in repeats(left, right, length):
                 for x in group:
-                    best.setdefault(x, set()).add((before, after))
-            for x, found in best.items():
+                    b, a = best.get(x, (0, 0))
+                    best[x] = max(b, before), max(a, after)
+            for x, (before, after) in best.items():  # all of its repeats hold the anchor: together they are one range
                 s, off, one, doc, th, _ = rows[x]
                 if one:
-                    for before, after in found:
-                        for o, v in zip(out, (doc, th, s + off - before, s + off + after), strict=True):
-                            o.append(v)
+                    for o, v in zip(out, (doc, th, s + off - before, s + off + after), strict=True):
+                        o.append(v)
             if len(out[0]) > 20000:
                 yield as_batch()
                 out = [[], [], [], []]
