@@ -45,6 +45,19 @@ def _seeds(h: np.ndarray, length: int, window: int) -> np.ndarray:
     return sliding_min(windows_of(h, length), window - length + 1)
 
 
+def _once(seed: np.ndarray, ok: np.ndarray, woff: np.ndarray) -> np.ndarray:
+    """Places of the windows marked ok, one for each seed that a row has: so a text that repeats itself sends a seed but once."""
+    new = np.ones(len(ok), bool)
+    new[1:] = (seed[1:] != seed[:-1]) | ~ok[:-1]
+    at = np.flatnonzero(ok & new)
+    row = np.searchsorted(woff, at, side="right") - 1
+    order = np.lexsort((seed[at], row))
+    at, row = at[order], row[order]
+    first = np.ones(len(at), bool)
+    first[1:] = (row[1:] != row[:-1]) | (seed[at][1:] != seed[at][:-1])
+    return at[first]
+
+
 def _alive(h: np.ndarray, woff: np.ndarray, rows: np.ndarray, lists: list, lengths: list[int], window: int) -> np.ndarray:
     """Mask of the windows whose seed repeats at every level of `lengths`; lists: per row, those levels' repeated seeds."""
     ok = within(woff, window, len(h))
@@ -104,9 +117,7 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
                 if not ok.any():
                     continue
                 seed = _seeds(h, steps[0], window)
-                new = np.ones(len(ok), bool)
-                new[1:] = (seed[1:] != seed[:-1]) | ~ok[:-1]
-                at = np.flatnonzero(ok & new)
+                at = _once(seed, ok, woff)
                 row = np.searchsorted(woff, at, side="right") - 1
                 full = np.flatnonzero(np.diff(woff) >= window)
                 acc = np.zeros(len(h) + 1, np.uint64)  # whole texts: a sum over words that depends on the place
@@ -129,15 +140,13 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
                 for i, h, woff in _hashed(batch.column("text")):
                     n = len(woff) - 1
                     ok = _alive(h, woff, np.arange(n), _lists(found, i, n, depth), steps[:depth], window)
-                    at = np.flatnonzero(ok)
-                    if not len(at):
+                    if not ok.any():
                         continue
-                    seed = _seeds(h, length, window)[at]
+                    seed = _seeds(h, length, window)
+                    at = _once(seed, ok, woff)
                     k = (windows_of(h, window, SECOND)[at] >> np.uint64(33)).astype(np.int32) if last else np.full(len(at), -1, np.int32)
                     row = np.searchsorted(woff, at, side="right") - 1
-                    new = np.ones(len(at), bool)
-                    new[1:] = (seed[1:] != seed[:-1]) | (row[1:] != row[:-1])
-                    yield pa.RecordBatch.from_arrays([pa.array(seed[new].view(np.int64)), pa.array(k[new]), ids.take(pa.array(row[new] + i))], names=["g", "k", "doc_id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(seed[at].view(np.int64)), pa.array(k), ids.take(pa.array(row + i))], names=["g", "k", "doc_id"])
 
         return emit
 
