@@ -12,10 +12,10 @@ from kinspan.llm.common import byte_prefix, components, lower_ascii, materialize
 COMBINE = 2  # tokens of a combination
 EXTEND = 2 * COMBINE - 1  # shared tokens of two extended prefixes: COMBINE of the rare class or COMBINE of the frequent one
 RARE = 8  # documents that a token of the rare class stands in at most, among the prefixes
-LOCAL = 8  # documents of a task, at least, that a token must stand in there to be ordered last
-LAST = 1 << 18  # tokens ordered last, at most: the bound of what is broadcast. Which ones changes the work, not the links
+SLOTS = 1 << 26  # bits of each table of tokens that are not unique, or not rare: the bound of what is broadcast. A full table changes the work, not the links
 BUCKETS = 1 << 20  # of the table that keeps texts of no candidate out of the shuffle: the bound of what is broadcast
 SALT = 256  # documents that one task compares with a centre, about
+BLOCK = 128  # documents of a block, about; a task compares two blocks
 
 
 def shingle_sets(col, shingle: int, lower: bool):
@@ -43,6 +43,15 @@ class Rule:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
 
+    def level_of(self, n: int) -> int:
+        """The size class of n: sets that may link are of the same class or of neighbouring ones."""
+        return int(np.floor(np.log(n) / np.log(self.den / self.num) + 1e-9))
+
+    def differ(self, level: int) -> int:
+        """Tokens that two linked sets of the classes level and level + 1 do not share, at most."""
+        most = int(np.ceil((self.den / self.num) ** (level + 2))) + 1
+        return 2 * most * (self.den - self.num) // (self.num + self.den) + 1
+
     def prefix(self, n: int) -> int:
         return n + (-n * self.num // self.den) + EXTEND
 
@@ -56,39 +65,73 @@ class Rule:
         return (F.least(nx, ny) * self.den >= F.greatest(nx, ny) * self.num) & (px <= nx - need + EXTEND - 1) & (py <= ny - need + EXTEND - 1)
 
 
-def _last_tokens(base: DataFrame, shingle: int, lower: bool) -> np.ndarray:
-    """Tokens that are frequent in some task's rows, the commonest LAST of them, sorted."""
+def _frequent(base: DataFrame, shingle: int, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Two bit tables over tokens' slots: which tokens more than one row has, and which more than RARE rows have.
 
-    def count(batches):
-        import pyarrow as pa
+    Every token of every row is counted. Tokens travel as 32 bits of their hash in one block for each partition and piece
+    of text; a partition's counts become bits where they are, and only the tables' words go to the driver."""
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-        tokens, counts, fresh, held, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0
+    def send(batches):
+        import pyarrow as pa
 
-        def merged():
-            allt = np.concatenate([tokens, *fresh])
-            allc = np.concatenate([counts, np.ones(len(allt) - len(tokens), np.int64)])
-            order = np.argsort(allt, kind="stable")
-            allt, allc = allt[order], allc[order]
-            first = np.flatnonzero(np.concatenate(([True], allt[1:] != allt[:-1]))) if len(allt) else np.zeros(0, np.int64)
-            return allt[first], np.add.reduceat(allc, first) if len(first) else allc
+        def block(tokens):
+            t = np.concatenate(tokens)
+            p = (t >> np.uint64(33)) % np.uint64(parts)
+            order = np.argsort(p, kind="stable")
+            cut = np.searchsorted(p[order], np.arange(parts + 1))
+            low = (t[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            some = np.flatnonzero(np.diff(cut))
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([low[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary())], names=["p", "tokens"])
 
+        held, size = [], 0
         for batch in batches:
             for _, s in shingle_sets(batch.column("text"), shingle, lower):
-                fresh.append(s)
-                held += len(s)
-                docs += 1
-                if held > 1 << 21:
-                    tokens, counts = merged()
-                    fresh, held = [], 0
-                    if len(tokens) > 1 << 22:  # forget what has been seen once, as a lossy count does
-                        tokens, counts = tokens[counts > 1], counts[counts > 1]
-        tokens, counts = merged()
-        ok = counts >= max(LOCAL, docs // 1000)
-        if ok.any():
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[ok].view(np.int64)), pa.array(counts[ok])], names=["t", "c"])
-
-    top = base.select("text").mapInArrow(count, "t long, c long").groupBy("t").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "t").limit(LAST)
-    return np.sort(np.asarray(top.select("t").toArrow().column("t").to_numpy()).view(np.uint64))
+                held.append(s)
+                size += len(s)
+                if size > 1 << 19:
+                    yield block(held)
+                    held, size = [], 0
+        if size:
+            yield block(held)
+
+    def bits(batches):
+        import pyarrow as pa
+
+        seen: dict[int, list] = {}
+        for batch in batches:
+            for p, blob in zip(batch.column("p").to_pylist(), batch.column("tokens"), strict=True):
+                seen.setdefault(p, []).append(np.frombuffer(blob.as_buffer(), np.uint32))
+        for p, found in seen.items():
+            t = np.sort(np.concatenate(found))
+            first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+            n = np.diff(np.append(first, len(t)))
+            for table, least in ((0, 2), (1, RARE + 1)):
+                slot = np.unique(t[first[n >= least]].astype(np.int64) & (SLOTS - 1))
+                if len(slot):
+                    word = slot >> 6
+                    at = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+                    value = np.bitwise_or.reduceat(np.left_shift(np.uint64(1), (slot & 63).astype(np.uint64)), at)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), table, np.int32)), pa.array(word[at].astype(np.int32)), pa.array(value.view(np.int64))], names=["table", "word", "bits"])
+
+    sent = base.select("text").mapInArrow(send, "p int, tokens binary").repartitionById(parts, F.col("p"))
+    words = sent.mapInArrow(bits, "table int, word int, bits long").groupBy("table", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros((2, SLOTS >> 6), np.uint64)
+    out[words.column("table").to_numpy(), words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out[0], out[1]
+
+
+def _has(table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    slot = (tokens & np.uint64(SLOTS - 1)).astype(np.int64)
+    return (table[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+
+
+def _with_texts(docs: DataFrame, wants: DataFrame) -> DataFrame:
+    """wants (doc_id, ...) with the texts of docs. A table of at most BUCKETS hashes keeps other texts out of the shuffle, as far as it has room."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
+    some = wants.select(bucket(F.col("doc_id")).alias("bucket")).distinct()
+    near = docs.select("doc_id", "text", bucket(F.col("doc_id")).alias("bucket")).join(F.broadcast(some), "bucket", "left_semi")
+    return near.drop("bucket").join(wants, "doc_id")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, shingle: int, lower: bool) -> DataFrame:
@@ -99,10 +142,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, shingle: int, lower
     wants = salted.select(F.col("b").alias("doc_id"), F.col("a").alias("centre"), "salt", F.lit(1).alias("role")).unionByName(
         salted.select(F.col("a").alias("doc_id"), F.col("a").alias("centre"), "salt", F.lit(0).alias("role")).distinct())
     wants = materialize(wants.groupBy("doc_id").agg(F.collect_list(F.struct("centre", "salt", "role")).alias("wants")), "wants")
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
-    some = wants.select(bucket(F.col("doc_id")).alias("bucket")).distinct()  # at most BUCKETS rows
-    near = docs.select("doc_id", "text", bucket(F.col("doc_id")).alias("bucket")).join(F.broadcast(some), "bucket", "left_semi")
-    one = near.join(wants, "doc_id").select("doc_id", "text", F.explode("wants").alias("w"))
+    one = _with_texts(docs, wants).select("doc_id", "text", F.explode("wants").alias("w"))
     sent = one.select("w.centre", "w.salt", "w.role", "doc_id", "text").repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role")
     num, den = rule.num, rule.den
     kind = dict(docs.dtypes)["doc_id"]
@@ -130,26 +170,110 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, shingle: int, lower
     return materialize(sent.mapInArrow(compare, f"a {kind}, b {kind}"), "links")
 
 
-def _combined(lists: DataFrame, kind: str) -> DataFrame:
-    """For each document all pairs of its tokens (t, p): (t: of the pair, doc_id, n, comp, p: the later place)."""
+def _combinations(docs: DataFrame, chosen: DataFrame, rule: Rule, shingle: int, lower: bool) -> DataFrame:
+    """(t, doc_id): for the chosen documents (doc_id) the combinations of tokens under which frequent ones are indexed.
+
+    Prefixes are extended to the whole sets here. A level's token classes are more than the tokens that two linked sets of
+    its sizes can have apart, so the sets agree in some class: all the tokens of a class make one combination, about
+    den / (den - num) of them. More classes than that are taken so that a class is found that is not empty; a set
+    with too many empty ones is indexed under these, too."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def emit(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ids = batch.column("doc_id")
+            for i, s in shingle_sets(batch.column("text"), shingle, lower):
+                if not len(s):
+                    continue
+                out, level = [], rule.level_of(len(s))
+                for lv in (level - 1, level):
+                    spare = rule.differ(lv) // 16 + 2
+                    classes = rule.differ(lv) + spare
+                    h = mix(s + np.uint64(lv + 2))
+                    part = (h % np.uint64(classes)).astype(np.int64)
+                    order = np.argsort(part, kind="stable")
+                    part = part[order]
+                    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+                    whole = np.add.reduceat(mix(h[order] ^ np.uint64(0x5851F42D4C957F2D)), first)
+                    out.append(mix(whole + part[first].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+                    if classes - len(first) >= spare:
+                        none = np.setdiff1d(np.arange(classes), part[first]).astype(np.uint64)
+                        out.append(mix(none * np.uint64(0x9E3779B97F4A7C15) + np.uint64(lv + 2)))
+                t = np.concatenate(out)
+                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), ids.take(pa.array(np.full(len(t), i)))], names=["t", "doc_id"])
+
+    return _with_texts(docs, chosen).select("doc_id", "text").mapInArrow(emit, f"t long, doc_id {kind}")
+
+
+def _within(docs: DataFrame, clusters: DataFrame, rule: Rule, shingle: int, lower: bool) -> DataFrame:
+    """Links (a, b) that join the documents of each cluster (cluster, doc_id, m: its size) as all their links do: a forest for any two of its blocks.
+
+    A cluster is cut into blocks of about BLOCK documents. A task has the texts of two blocks, whose sets it compares all
+    with all as one product of matrices; rows for single pairs are never made."""
+    kind = dict(docs.dtypes)["doc_id"]
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = clusters.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    wants = materialize(own.select("doc_id", F.struct("cluster", "blocks", "own").alias("w")), "blocks")
+    sent = _with_texts(docs, wants).select("doc_id", "text", "w.*").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "doc_id", "text").repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
+    num, den = rule.num, rule.den
 
-    def pairs(batches):
+    def forest(sets: list[np.ndarray], ids: list) -> list[tuple]:
+        n = np.array([len(s) for s in sets], np.float32)
+        tokens, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        rank = np.cumsum(count > 1) - 1
+        some = count[at] > 1
+        row, col = row[some], rank[at[some]]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        for lo in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
+            a, b = np.searchsorted(col, (lo, lo + 4096))
+            m = np.zeros((len(sets), 4096), np.float32)
+            m[row[a:b], col[a:b] - lo] = 1
+            both += m @ m.T
+        linked = both.astype(np.int64) * den >= num * (n[:, None].astype(np.int64) + n.astype(np.int64) - both.astype(np.int64))
+        np.fill_diagonal(linked, False)
+        seen, out = np.zeros(len(sets), bool), []
+        for start in range(len(sets)):
+            todo = [start] if not seen[start] else []
+            seen[start] = True
+            while todo:
+                v = todo.pop()
+                new = np.flatnonzero(linked[v] & ~seen)
+                seen[new] = True
+                todo += new.tolist()
+                out += [(ids[v], ids[w]) for w in new]
+        return out
+
+    def compare(batches):
         import pyarrow as pa
 
+        now, sets, ids = None, [], []
+
+        def done():
+            pairs = forest(sets, ids) if len(sets) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], id_type), pa.array([p[1] for p in pairs], id_type)], names=["a", "b"])
+
         for batch in batches:
-            offs = np.asarray(batch.column("toks").offsets)
-            p, t = (x.to_numpy(zero_copy_only=False) for x in batch.column("toks").values.flatten())
-            for i in range(batch.num_rows):
-                a, b = offs[i], offs[i + 1]
-                tok, at = np.sort(t[a:b].view(np.uint64)), p[a:b][np.argsort(t[a:b].view(np.uint64))]
-                for lo in range(0, len(tok) - 1, 256):  # in blocks: a long text has many
-                    x, y = np.triu_indices(min(256, len(tok) - lo), 1, len(tok) - lo)
-                    x, y = x + lo, y + lo
-                    if len(x):
-                        key = mix(tok[x] * np.uint64(0x9E3779B97F4A7C15) + tok[y])
-                        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *[batch.column(c).take(pa.array(np.full(len(x), i))) for c in ("doc_id", "n", "comp")], pa.array(np.maximum(at[x], at[y]).astype(np.int32))], names=["t", "doc_id", "n", "comp", "p"])
+            id_type = batch.schema.field("doc_id").type
+            keys = list(zip(*[batch.column(c).to_pylist() for c in ("cluster", "x", "y")], strict=True))
+            doc = batch.column("doc_id").to_pylist()
+            for i, s in shingle_sets(batch.column("text"), shingle, lower):
+                if keys[i] != now:
+                    if sets:
+                        yield done()
+                    now, sets, ids = keys[i], [], []
+                if len(s):
+                    sets.append(s)
+                    ids.append(doc[i])
+        if sets:
+            yield done()
 
-    return lists.mapInArrow(pairs, f"t long, doc_id {kind}, n int, comp {kind}, p int")
+    return sent.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
 def _mixed_buckets(index: DataFrame) -> DataFrame:
@@ -171,9 +295,11 @@ def ngram_groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 10
 
     Rows with equal sets are one class, named after its smallest doc_id, which alone goes on. Tokens are ordered rare ones first. Two sets that
     are similar enough share EXTEND tokens of their extended prefixes: so either COMBINE of the rare class, each indexed by
-    itself, or a combination of COMBINE frequent ones, which is indexed as such. Before that, each token's documents
+    itself, or COMBINE frequent ones. Documents that have as many of these are indexed under combinations of tokens. Those that
+    share a combination with its smallest doc_id form that document's star: two that share a combination are in one star. What
+    stars join, or if that is less the stars one by one, is compared in blocks. Before that, each token's documents
     are compared with the one that holds it earliest; buckets whose documents are all in one group by then need
-    no pair. Candidates are verified on their whole sets.
+    no pair. Links are decided on whole sets.
 
     Null text, empty text and text without words have the empty set: n_shingles 0, linked with nothing; component_id is
     the row's own doc_id. A row with a null doc_id has null class and component. Rows that share a doc_id are one node. An
@@ -181,12 +307,12 @@ def ngram_groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 10
     rule = Rule(num, den)
     kind = dict(docs.dtypes)["doc_id"]
     base = docs.select("doc_id", "text")
-    last = docs.sparkSession.sparkContext.broadcast(_last_tokens(base, shingle, lower))
+    tables = docs.sparkSession.sparkContext.broadcast(_frequent(base, shingle, lower))
 
     def prefixes(batches):
         import pyarrow as pa
 
-        rare_last = last.value
+        twice, often = tables.value
         for batch in batches:
             n, s1, s2, toks = [], [], [], []
             for _, s in shingle_sets(batch.column("text"), shingle, lower):
@@ -194,8 +320,7 @@ def ngram_groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 10
                 s1.append(mix(s).sum(dtype=np.uint64))
                 s2.append(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
                 if len(s):
-                    late = rare_last[np.minimum(np.searchsorted(rare_last, s), len(rare_last) - 1)] == s if len(rare_last) else np.zeros(len(s), bool)
-                    s = np.concatenate([s[~late], s[late]])[: rule.prefix(len(s))]
+                    s = s[np.argsort(_has(twice, s) + _has(often, s), kind="stable")][: rule.prefix(len(s))]
                 toks.append(s.view(np.int64))
             offs = np.concatenate(([0], np.cumsum([len(x) for x in toks]))).astype(np.int32)
             flat = np.concatenate(toks) if toks else np.zeros(0, np.int64)
@@ -218,9 +343,26 @@ def ngram_groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 10
     open_ = materialize(_mixed_buckets(index), "open")
 
     rare = _across(open_.where(F.col("cnt") <= RARE), rule, COMBINE)
-    often = open_.where(F.col("cnt") > RARE).groupBy("doc_id", "n", "comp").agg(F.collect_list(F.struct("p", "t")).alias("toks")).where(F.size("toks") >= COMBINE)
-    combined = _across(materialize(_mixed_buckets(_combined(often, kind)), "combined"), rule, 1)
-    more = _verified(docs, rare.unionByName(combined).distinct(), rule, shingle, lower)
+    more = _verified(docs, rare, rule, shingle, lower)
+    often = open_.where(F.col("cnt") > RARE).groupBy("doc_id").agg(F.count("*").alias("c")).where(F.col("c") >= COMBINE).select("doc_id")
+    combined = _combinations(docs, materialize(often, "often"), rule, shingle, lower)
+    met = combined.withColumn("a", F.min("doc_id").over(Window.partitionBy("t"))).where("a != doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    met = materialize(met, "met")
+    stars = met.select(F.col("a").alias("cluster"), F.col("b").alias("doc_id")).unionByName(met.select(F.col("a").alias("cluster"), F.col("a").alias("doc_id")).distinct())
+    firsts = stars.groupBy("doc_id").agg(F.min("cluster").alias("first"))
+    stars = stars.join(firsts, "doc_id").join(comps.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    open_star = (F.col("c1") != F.col("c2")) & ((F.col("f1") != F.col("f2")) | (F.col("f1") == F.col("cluster")))
+    sizes = stars.groupBy("cluster").agg(F.count("*").alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("first").alias("f1"), F.max("first").alias("f2")).where(open_star).select("cluster", "m")
+    stars = stars.select("cluster", "doc_id", "comp")
+    whole = components(met).select(F.col("comp").alias("family"), F.col("node").alias("doc_id"))
+    cost = F.sum(F.col("m") * F.ceil(F.col("m") / BLOCK))
+    by_star = sizes.join(whole.withColumnRenamed("doc_id", "cluster"), "cluster").groupBy("family").agg(cost.alias("by_star"))
+    families = whole.groupBy("family").agg(F.count("*").alias("m")).join(by_star, "family").withColumn("at_once", F.col("m") * F.ceil(F.col("m") / BLOCK) <= F.col("by_star"))
+    families = materialize(families, "families")
+    at_once = whole.join(families.where("at_once").select("family", "m"), "family").select(F.col("family").alias("cluster"), "doc_id", "m")
+    apart = whole.join(families.where("not at_once").select("family"), "family").select(F.col("doc_id").alias("cluster")).join(sizes, "cluster")
+    groups = at_once.unionByName(stars.join(apart, "cluster").select("cluster", "doc_id", "m"))
+    more = more.unionByName(materialize(_within(docs, groups, rule, shingle, lower), "links"))
 
     comps = components(links.unionByName(more)).withColumnRenamed("node", "rep")
     named = classes.join(comps, "rep", "left").select("s1", "s2", "n", "rep", F.coalesce("comp", "rep").alias("comp"))
