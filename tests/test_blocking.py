@@ -38,7 +38,7 @@ def test_repeated_tokens_count(spark):
 
 def test_key_types(spark):
     keys = blocking.explode_keys(blocking.prepare(table(spark, ("S1-1", "A-1 Bo", "near 5 Elm St 1234 x77", "US"))))
-    assert sorted((r.key_type, r.key) for r in keys.collect()) == [("addr_digit", "1234"), ("addr_token", "elm"), ("addr_token", "x77")]
+    assert sorted((r.key_type, r.key) for r in keys.collect()) == [("addr_digit", "1234"), ("addr_token", "elm"), ("addr_token", "x77"), ("name_prefix", "a1bo")]
 
 
 def test_pruning_limits_are_inclusive_and_per_source(spark):
