@@ -54,7 +54,7 @@ def pareto_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: in
     # the uniform number is in the open interval (0, 1); the rank key x = odds(u) / odds(p) is binned by x / (1 + x)
     u = (F.shiftrightunsigned(F.xxhash64("row_hash"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
     keyed = keyed.withColumn("x", F.when((F.col("p") > 0) & (F.col("size") > 0), (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))))
-    keyed = keyed.withColumn("bin", F.least(F.lit(BINS - 1), F.floor(F.col("x") / (1 + F.col("x")) * BINS)).cast("int"))
+    keyed = keyed.withColumn("bin", F.when(F.col("x").isNotNull(), F.least(F.lit(BINS - 1), F.floor(F.col("x") / (1 + F.col("x")) * BINS)).cast("int")))
     by = Window.partitionBy("source_no").orderBy("bin")
     hist = keyed.where(F.col("x").isNotNull()).groupBy("source_no", "bin").agg(F.sum("size").alias("words"), F.max("need").alias("need"))
     hist = hist.withColumn("upto", F.sum("words").over(by))
