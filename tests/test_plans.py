@@ -23,3 +23,16 @@ def test_training_reports(spark):
     assert got["grid"].count() == 19 and got["metrics"].first().n_entities == 10
     assert {r.model for r in got["baselines"].collect()} == set(models.BASELINES)
     assert got["blocking_quality"].first().candidate_recall > 0.5
+
+
+def test_entry_registers_all():
+    import __spark_entry__ as entry
+
+    known = entry.queries()
+    assert set(queries.queries()) <= set(known) and set(entry.oracle_sql()) <= set(known)
+
+
+def test_entry_runs(spark):
+    import __spark_entry__ as entry
+
+    assert entry.entry(spark).count() > 0
