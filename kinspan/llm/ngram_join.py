@@ -150,19 +150,21 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, shingle: int, lower
     def compare(batches):
         import pyarrow as pa
 
-        now, mine = None, None
+        now, mine = None, []
         for batch in batches:
             key = list(zip(batch.column("centre").to_pylist(), batch.column("salt").to_pylist(), strict=True))
             role, ids = batch.column("role").to_pylist(), batch.column("doc_id").to_pylist()
             a, b = [], []
             for i, s in shingle_sets(batch.column("text"), shingle, lower):
                 if role[i] == 0:
-                    now, mine = key[i], s
-                elif key[i] == now and len(s) and len(mine):
-                    both = np.concatenate([s, mine])
+                    mine = [*mine, s] if key[i] == now else [s]
+                    now = key[i]
+                    continue
+                for centre in mine if key[i] == now and len(s) else []:
+                    both = np.concatenate([s, centre])
                     both.sort()
                     o = int((both[1:] == both[:-1]).sum())
-                    if den * o >= num * (len(s) + len(mine) - o):
+                    if len(centre) and den * o >= num * (len(s) + len(centre) - o):
                         a.append(now[0])
                         b.append(ids[i])
             yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field("centre").type), pa.array(b, batch.schema.field("doc_id").type)], names=["a", "b"])
@@ -364,7 +366,9 @@ def ngram_groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 10
     groups = at_once.unionByName(stars.join(apart, "cluster").select("cluster", "doc_id", "m"))
     more = more.unionByName(materialize(_within(docs, groups, rule, shingle, lower), "links"))
 
-    comps = components(links.unionByName(more)).withColumnRenamed("node", "rep")
+    twice = sets.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("doc_id")
+    same = sets.join(twice, "doc_id").join(classes, ["s1", "s2", "n"]).where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    comps = components(links.unionByName(more).unionByName(same)).withColumnRenamed("node", "rep")
     named = classes.join(comps, "rep", "left").select("s1", "s2", "n", "rep", F.coalesce("comp", "rep").alias("comp"))
     return sets.drop("toks").join(named, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))

@@ -160,6 +160,16 @@ def test_ngram_groups_by_combinations_of_frequent_tokens(spark, monkeypatch):
     assert got == comp and len(set(comp.values())) > 5
 
 
+def test_rows_that_share_an_id_are_one_node(spark):
+    rng = random.Random(8)
+    text = lambda: [f"u{rng.randrange(10**6)}" for _ in range(60)]
+    a, b, c = text(), text(), text()
+    near = [*b[:-1], "other"]
+    rows = [(1, " ".join(a), None, None, 1), (2, " ".join(b), None, None, 1), (2, " ".join(a), None, None, 1), (3, " ".join(near), None, None, 1), (4, " ".join(c), None, None, 1), (4, " ".join(c), None, None, 1)]
+    got = sorted((r.doc_id, r.component_id) for r in ngram_groups(frame(spark, rows), 5, 80, 100).collect())
+    assert got == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (95, 90), (7, 7)]
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
