@@ -126,9 +126,13 @@ def compute_features(pairs: DataFrame, s1: DataFrame, others: DataFrame, single:
 
     Every feature belongs to its own pair, whatever the order of rows; token and gram statistics are those of all pairs of a source."""
     wide = paired(pairs, s1, others).persist(StorageLevel.MEMORY_AND_DISK)
-    out = fuzzy_features(direct_features(wide))
+    keys = [*PAIR, "source"]  # all that follows is joined by the pair, so the features themselves are dealt out once
+    local = fuzzy_features(direct_features(wide))
+    out = local.select(*keys, *[c for c in FEATURES if c in local.columns])
     for field in ("name", "addr"):
-        out = out.join(shared_rare_token(wide, field), [*PAIR, "source"], "left").join(tfidf_cosine(wide, field), ["source", f"{field}_norm_l", f"{field}_norm_r"], "left")
+        texts = [f"{field}_norm_l", f"{field}_norm_r"]
+        cosine = wide.select(*keys, *texts).join(tfidf_cosine(wide, field), ["source", *texts]).select(*keys, f"{field}_tfidf_cosine")
+        out = out.join(shared_rare_token(wide, field), keys, "left").join(cosine, keys, "left")
         out = out.fillna(0.0, [f"{field}_shared_rare_token", f"{field}_tfidf_cosine"])
     kind = "float" if single else "double"
     return out.select(*PAIR, "source", *[F.col(c).cast(kind).alias(c) for c in FEATURES])
