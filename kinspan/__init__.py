@@ -1,0 +1 @@
+"""Record linkage and training-data operators as Spark DataFrame plans."""

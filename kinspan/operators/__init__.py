@@ -1,0 +1 @@
+"""Operators on tables of records, pairs and results."""

@@ -1,0 +1 @@
+"""Whole runs, the demo records, the driver's queries and their SQL."""

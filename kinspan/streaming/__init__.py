@@ -1,0 +1 @@
+"""No operator of this package works on streams: tables of records and corpora are read whole."""
