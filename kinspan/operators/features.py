@@ -99,26 +99,30 @@ def word_grams(text: Column) -> Column:
 
 
 def gram_vectors(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> DataFrame:
-    """(source, text, gram, w): unit TF-IDF vectors of the distinct texts among a source's pairs."""
-    texts = wide.select("source", F.explode(F.array(f"{field}_norm_l", f"{field}_norm_r")).alias("text")).where(F.col("text") != "").distinct()
+    """(source, text, vector: map of gram to weight): unit TF-IDF vectors of the distinct texts among a source's pairs.
+
+    Texts are dealt out once: their grams are counted, weighed and gathered where they are, since the grams' weights, at most
+    max_grams for each source, are broadcast."""
+    texts = wide.select("source", F.explode(F.array(f"{field}_norm_l", f"{field}_norm_r")).alias("text")).where(F.col("text") != "").distinct().persist(StorageLevel.MEMORY_AND_DISK)
     total = texts.groupBy("source").agg(F.count("*").alias("n"))
-    tf = texts.select("source", "text", F.explode(word_grams(F.col("text"))).alias("gram")).groupBy("source", "text", "gram").agg(F.count("*").alias("tf")).persist(StorageLevel.MEMORY_AND_DISK)
+    tf = texts.select("source", "text", F.explode(word_grams(F.col("text"))).alias("gram")).groupBy("source", "text", "gram").agg(F.count("*").alias("tf"))
     df = tf.groupBy("source", "gram").agg(F.count("*").alias("df"), F.sum("tf").alias("all"))
     kept = df.withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("all"), "gram"))).where(F.col("r") <= max_grams)
     idf = kept.join(F.broadcast(total), "source").select("source", "gram", (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = tf.join(idf, ["source", "gram"]).select("source", "text", "gram", (F.col("tf") * F.col("idf")).alias("x"))
-    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("source", "text")))
-    return w.select("source", "text", "gram", (F.col("x") / norm).alias("w"))
+    w = tf.join(F.broadcast(idf), ["source", "gram"]).groupBy("source", "text").agg(F.collect_list(F.struct("gram", (F.col("tf") * F.col("idf")).alias("x"))).alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, e: acc + e["x"] * e["x"]))
+    w = w.withColumn("norm", norm)
+    return w.select("source", "text", F.map_from_entries(F.transform("v", lambda e: F.struct(e["gram"], e["x"] / F.col("norm")))).alias("vector"))
 
 
 def tfidf_cosine(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> DataFrame:
-    """(source, <field>_norm_l, <field>_norm_r, <field>_tfidf_cosine) of each distinct pair of texts that share a gram."""
+    """(source, <field>_norm_l, <field>_norm_r, <field>_tfidf_cosine) of each distinct pair of texts, neither of them empty."""
     keys = [f"{field}_norm_l", f"{field}_norm_r"]
-    vectors = gram_vectors(wide, field, max_grams)
+    vectors = gram_vectors(wide, field, max_grams).persist(StorageLevel.MEMORY_AND_DISK)
     asked = wide.select("source", *keys).where((F.col(keys[0]) != "") & (F.col(keys[1]) != "")).distinct()
-    left = asked.join(vectors.select("source", F.col("text").alias(keys[0]), "gram", F.col("w").alias("wl")), ["source", keys[0]])
-    both = left.join(vectors.select("source", F.col("text").alias(keys[1]), "gram", F.col("w").alias("wr")), ["source", keys[1], "gram"])
-    return both.groupBy("source", *keys).agg(F.sum(F.col("wl") * F.col("wr")).alias(f"{field}_tfidf_cosine"))
+    both = asked.join(vectors.select("source", F.col("text").alias(keys[0]), F.col("vector").alias("vl")), ["source", keys[0]]).join(vectors.select("source", F.col("text").alias(keys[1]), F.col("vector").alias("vr")), ["source", keys[1]])
+    dot = F.aggregate(F.map_values(F.map_zip_with("vl", "vr", lambda _, x, y: F.coalesce(x * y, F.lit(0.0)))), F.lit(0.0), lambda acc, x: acc + x)
+    return both.select("source", *keys, dot.alias(f"{field}_tfidf_cosine"))
 
 
 def compute_features(pairs: DataFrame, s1: DataFrame, others: DataFrame, single: bool = True) -> DataFrame:
