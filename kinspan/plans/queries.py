@@ -418,4 +418,4 @@ def gbt_scores(spark, sf_dir):
 @query
 def logreg_scores(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
-    return models.score_pairs(rows, models.fit_logistic(rows.select(*features.FEATURES, "label"), rounds=50))
+    return models.score_pairs(rows, models.fit_logistic(rows.select(*features.FEATURES, "label"), rounds=20))
