@@ -66,7 +66,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinspan.llm.suffix_dedup import suffix_dedup
 
-    return suffix_dedup(table(spark, sf_dir, "documents"))
+    return suffix_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -130,7 +130,7 @@ def _contexts(batches, length: int):
     for batch in batches:
         want, texts = batch.column("want"), batch.column("text")
         offs = np.asarray(want.offsets)
-        g, s, n, off, one, m = (x.to_numpy(zero_copy_only=False) for x in want.values.flatten())
+        g, c, s, n, off, one, m = (x.to_numpy(zero_copy_only=False) for x in want.values.flatten())
         ids, ths, buf, at = batch.column("doc_id"), batch.column("th"), *text_buffer(texts)
         who = np.repeat(np.arange(len(ids)), np.diff(offs))
         base = offs[0]
@@ -138,8 +138,8 @@ def _contexts(batches, length: int):
             part = slice(a, min(len(who), a + 20000))
             lo = at[who[part]] + s[base:][part]
             data = [bytes(buf[x:y]) for x, y in zip(lo, lo + n[base:][part] + length - 1, strict=True)]
-            cols = [x[base:][part] for x in (g, s, n, off, one, m)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols] + [x.take(pa.array(who[part])) for x in (ids, ths)] + [pa.array(data, pa.binary())], names=["g", "s", "n", "off", "one", "m", "doc_id", "th", "data"])
+            cols = [x[base:][part] for x in (g, c, s, n, off, one, m)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols] + [x.take(pa.array(who[part])) for x in (ids, ths)] + [pa.array(data, pa.binary())], names=["g", "c", "s", "n", "off", "one", "m", "doc_id", "th", "data"])
 
 
 def _groups(batches):
@@ -156,8 +156,10 @@ def _groups(batches):
         yield now, rows
 
 
-def _spans(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, th, s, e): byte ranges of the texts of docs (doc_id, th, text) that a repeated string covers, in pieces."""
+def _anchored(docs: DataFrame, length: int) -> DataFrame:
+    """The runs of docs (doc_id, th, text) that may repeat: doc_id, th, s, e, n, off, g (anchor), c (run), one (this run stands nowhere else), rep (the first such run), m (different runs with this anchor).
+
+    n = 0: no run, but a range that a text's own repeated strings cover."""
     schema_id = dict(docs.dtypes)["doc_id"]
 
     def find(batches):
@@ -175,10 +177,44 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
     # one shuffle by g serves all three windows
     found = found.repartition("g").withColumn("cnt", F.sum(F.when(F.col("many"), 2).otherwise(1)).over(of_class)).withColumn("nth", F.row_number().over(of_class.orderBy("doc_id", "th", "s")))
     found = found.withColumn("m", F.sum((F.col("nth") == 1).cast("int")).over(of_seed))
-    found = materialize(found.where("n = 0 or cnt > 1 or m > 1").select("doc_id", "th", "s", "e", "n", "off", "g", (F.col("cnt") == 1).alias("one"), (F.col("nth") == 1).alias("rep"), "m"), "anchors")
+    found = materialize(found.where("n = 0 or cnt > 1 or m > 1").select("doc_id", "th", "s", "e", "n", "off", "g", "c", (F.col("cnt") == 1).alias("one"), (F.col("nth") == 1).alias("rep"), "m"), "anchors")
+    return found
+
+
+def _held(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
+    """One of each of the different runs that share an anchor, with its bytes."""
+    want = found.where("n > 0 and m > 1 and rep").groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "c", "s", "n", "off", "one", "m")).alias("want"))
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.join(want, ["doc_id", "th"]).select("doc_id", "th", "text", "want").mapInArrow(lambda x: _contexts(x, length), f"g long, c long, s int, n short, off short, one boolean, m long, doc_id {kind}, th long, data binary")
+
+
+def _strings(held: DataFrame, length: int) -> DataFrame:
+    """(h, k, doc_id, th, s, cnt): the strings of very frequent anchors that stand more than once, counted with a partial sum before the shuffle."""
+    kind = dict(held.dtypes)["doc_id"]
+
+    def each(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            data, (off, s, n) = batch.column("data"), (batch.column(c).to_numpy() for c in ("off", "s", "n"))
+            for i in range(batch.num_rows):
+                b = np.frombuffer(data[i].as_buffer(), np.uint8)
+                at = np.arange(n[i])
+                p = byte_prefix(b)
+                h = span_hash(p, at, at + length)
+                k = span_hash(byte_prefix(b ^ np.uint8(0xA5)), at, at + length) >> np.uint64(33)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k.astype(np.int32)), *[batch.column(c).take(pa.array(np.full(n[i], i))) for c in ("doc_id", "th")], pa.array((s[i] + at).astype(np.int32))], names=["h", "k", "doc_id", "th", "s"])
+
+    single = held.where(F.col("m") > IN_TASK).mapInArrow(each, f"h long, k int, doc_id {kind}, th long, s int")
+    return single.join(single.groupBy("h", "k").agg(F.count("*").alias("cnt")).where("cnt > 1"), ["h", "k"])
+
+
+def _spans(docs: DataFrame, length: int) -> DataFrame:
+    """(doc_id, th, s, e): byte ranges of the texts of docs (doc_id, th, text) that a repeated string covers, in pieces."""
+    schema_id = dict(docs.dtypes)["doc_id"]
+    found = _anchored(docs, length)
     whole = found.where((F.col("n") == 0) | ~F.col("one")).select("doc_id", "th", "s", "e")
-    want = found.where("n > 0 and m > 1 and rep").groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "s", "n", "off", "one", "m")).alias("want"))
-    held = docs.join(want, ["doc_id", "th"]).select("doc_id", "th", "text", "want").mapInArrow(lambda x: _contexts(x, length), f"g long, s int, n short, off short, one boolean, m long, doc_id {schema_id}, th long, data binary")
+    held = _held(docs, found, length)
 
     def scan(batches):
         import pyarrow as pa
@@ -207,23 +243,7 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
     sorted_rows = held.where(F.col("m") <= IN_TASK).select("g", "s", "off", "one", "doc_id", "th", "data").repartition("g").sortWithinPartitions("g")
     near = sorted_rows.mapInArrow(scan, f"doc_id {schema_id}, th long, s int, e int")
 
-    def each(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            data, (off, s, n) = batch.column("data"), (batch.column(c).to_numpy() for c in ("off", "s", "n"))
-            for i in range(batch.num_rows):
-                b = np.frombuffer(data[i].as_buffer(), np.uint8)
-                at = np.arange(n[i])
-                p = byte_prefix(b)
-                h = span_hash(p, at, at + length)
-                k = span_hash(byte_prefix(b ^ np.uint8(0xA5)), at, at + length) >> np.uint64(33)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k.astype(np.int32)), *[batch.column(c).take(pa.array(np.full(n[i], i))) for c in ("doc_id", "th")], pa.array((s[i] + at).astype(np.int32))], names=["h", "k", "doc_id", "th", "s"])
-
-    # very frequent anchors: their strings one by one, counted with a partial sum before the shuffle
-    single = held.where(F.col("m") > IN_TASK).mapInArrow(each, f"h long, k int, doc_id {schema_id}, th long, s int")
-    often = single.groupBy("h", "k").agg(F.count("*").alias("cnt")).where("cnt > 1")
-    hot = single.join(often, ["h", "k"]).select("doc_id", "th", "s", (F.col("s") + F.lit(length)).cast("int").alias("e"))
+    hot = _strings(held, length).select("doc_id", "th", "s", (F.col("s") + F.lit(length)).cast("int").alias("e"))
     return whole.unionByName(near).unionByName(hot)
 
 
@@ -233,7 +253,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     Every string has an anchor (see anchors), and equal strings have it at the same place, so the texts' suffixes at anchors
     are enough. They are dealt out by the anchor's bytes; runs that stand elsewhere as a whole are settled by their hash;
     for the others the bytes around the anchors are fetched and the interval tree of their suffix array is scanned.
-    Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+    Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (the ranges s to e - 1) and kept (the bytes that remain).
 
     Null text counts as empty; shorter rows lose nothing; repeated rows are each other's copies, whether or not they share
     a doc_id; a row with a null doc_id takes no part; an empty table gives no row; other columns are ignored."""
@@ -250,22 +270,52 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
             offs = np.asarray(spans.offsets)
             s, e = (x.to_numpy(zero_copy_only=False) for x in spans.values.flatten())
             valid = np.asarray(spans.is_valid())
-            n, cut, runs, sha = [], [], [], []
+            n, cut, runs, sha, ranges, kept = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 b = buf[at[i] : at[i + 1]]
-                gone = 0
-                k = 0
+                gone, at_s, at_e = 0, [], []
                 if valid[i] and offs[i + 1] > offs[i]:
                     edge = np.zeros(len(b) + 1, np.int64)
                     np.add.at(edge, s[offs[i] : offs[i + 1]], 1)
                     np.add.at(edge, e[offs[i] : offs[i + 1]], -1)
                     out = np.cumsum(edge[:-1]) > 0
-                    gone, k = int(out.sum()), int(out[0]) + int((out[1:] & ~out[:-1]).sum())
+                    turn = np.flatnonzero(np.diff(np.concatenate(([0], out.astype(np.int8), [0]))))
+                    gone, at_s, at_e = int(out.sum()), turn[::2], turn[1::2]
                     b = b[~out]
                 n.append(int(at[i + 1] - at[i]))
                 cut.append(gone)
-                runs.append(k)
-                sha.append(hashlib.sha256(b.tobytes()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cut, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                runs.append(len(at_s))
+                ranges.append([{"s": int(x), "e": int(y)} for x, y in zip(at_s, at_e, strict=True)])
+                kept.append(b.tobytes())
+                sha.append(hashlib.sha256(kept[-1]).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cut, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(ranges, pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept"])
+
+    return final.mapInArrow(keep, f"doc_id {dict(base.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed {SPAN}, kept binary")
+
+
+def maximal_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+    """(repeat_id, n_bytes, doc_id, start): the groups of equal strings of at least `length` bytes through an anchor, each with all its occurrences.
+
+    A string within an anchor's reach is as long as it can be: its occurrences differ, or the reach ends, on either side. Where a
+    text repeats its own strings, the range that they cover is one row; strings of very frequent anchors have `length` bytes.
+    Rows are treated as suffix_dedup treats them."""
+    some = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), "text")
+    found = _anchored(some, length)
+    held = _held(some, found, length)
+
+    def scan(batches):
+        import pyarrow as pa
 
-    return final.mapInArrow(keep, f"doc_id {dict(base.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        for g, rows in _groups(batches):
+            out = [(g, no, rows[x][0], rows[x][1] - before, before + after) for no, (group, before, after) in enumerate(repeats([r[2][: r[1]][::-1] for r in rows], [r[2][r[1] :] for r in rows], length)) for x in group]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["g", "no", "c", "shift", "n_bytes"])
+
+    groups = held.where(F.col("m") <= IN_TASK).select("g", "c", "off", "data").repartition("g").sortWithinPartitions("g").mapInArrow(scan, "g long, no int, c long, shift int, n_bytes int")
+    runs = found.where("n > 0")
+    near = groups.join(runs, ["g", "c"]).select(F.xxhash64("g", "no").alias("repeat_id"), "n_bytes", "doc_id", (F.col("s") + F.col("shift")).alias("start"))
+    span = F.col("e") - F.col("s")
+    whole = runs.where(~F.col("one")).select(F.xxhash64("g", "c").alias("repeat_id"), span.alias("n_bytes"), "doc_id", F.col("s").alias("start"))
+    own = found.where("n = 0").select(F.xxhash64("doc_id", "th", "s").alias("repeat_id"), span.alias("n_bytes"), "doc_id", F.col("s").alias("start"))
+    hot = _strings(held, length).select(F.xxhash64("h", "k").alias("repeat_id"), F.lit(length).alias("n_bytes"), "doc_id", F.col("s").alias("start"))
+    return near.unionByName(whole).unionByName(own).unionByName(hot)

@@ -14,7 +14,7 @@ from kinspan.llm.decontamination import contaminated, drop_contaminated
 from kinspan.llm.ngram_join import ngram_groups
 from kinspan.llm.quality_rules import quality_rules
 from kinspan.llm.substring_dedup import levels, substring_dedup
-from kinspan.llm.suffix_dedup import interval_tree, repeats, suffix_dedup
+from kinspan.llm.suffix_dedup import interval_tree, maximal_repeats, repeats, suffix_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -107,8 +107,10 @@ def test_suffix_dedup(spark, rows, length):
             if i is not None and count[b[a : a + length]] > 1:
                 gone |= set(range(a, a + length))
         want[i] = (len(b), len(gone), sum(1 for x in gone if x - 1 not in gone), hashlib.sha256(bytes(x for j, x in enumerate(b) if j not in gone)).hexdigest())
-    got = {r[0]: tuple(r[1:]) for r in suffix_dedup(frame(spark, rows), length).collect()}
+    out = suffix_dedup(frame(spark, rows), length).collect()
+    got = {r[0]: tuple(r[1:5]) for r in out}
     assert got == want and any(v[1] for v in want.values())
+    assert all(sum(x.e - x.s for x in r.removed) == r.n_removed and len(r.removed) == r.n_spans and hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in out)
 
 
 def test_very_frequent_anchors_are_counted_string_by_string(spark, rows, monkeypatch):
@@ -117,6 +119,18 @@ def test_very_frequent_anchors_are_counted_string_by_string(spark, rows, monkeyp
     assert {r[0]: tuple(r[1:]) for r in suffix_dedup(frame(spark, rows), 80).collect()} == usual
 
 
+def test_repeat_groups_hold_equal_strings_and_cover_what_is_removed(spark, rows):
+    texts = {i: (t or "").encode() for i, t, *_ in rows}
+    groups, covered = {}, {}
+    for r in maximal_repeats(frame(spark, rows), 80).collect():
+        groups.setdefault(r.repeat_id, set()).add((r.doc_id, r.start, texts[r.doc_id][r.start : r.start + r.n_bytes]))
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.n_bytes))
+        assert 80 <= r.n_bytes and r.start + r.n_bytes <= len(texts[r.doc_id])
+    assert all(len({x for *_, x in g}) == 1 for g in groups.values()) and max(map(len, groups.values())) > 1
+    want = {r.doc_id: {x for a in r.removed for x in range(a.s, a.e)} for r in suffix_dedup(frame(spark, rows), 80).collect() if r.n_removed}
+    assert covered == want
+
+
 def test_interval_tree_and_maximal_repeats():
     assert sorted(interval_tree([2, 3, 0, 1], 1)) == [(0, 2, 2), (1, 2, 3), (3, 4, 1)]
     assert sorted(interval_tree([0, 0], 0)) == [(0, 2, 0)]
