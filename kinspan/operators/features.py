@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from kinspan.functions import normalize as N
 from kinspan.functions.similarity import fuzzy
 from kinspan.operators.blocking import prepare
+from kinspan.operators.lineage import cut
 from kinspan.schema import NAME_NGRAM, PAIR
 
 #: Fixed order of the feature matrix.
@@ -103,7 +104,7 @@ def gram_vectors(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> Dat
 
     Texts are dealt out once: their grams are counted, weighed and gathered where they are, since the grams' weights, at most
     max_grams for each source, are broadcast."""
-    texts = wide.select("source", F.explode(F.array(f"{field}_norm_l", f"{field}_norm_r")).alias("text")).where(F.col("text") != "").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    texts = wide.select("source", F.explode(F.array(f"{field}_norm_l", f"{field}_norm_r")).alias("text")).where(F.col("text") != "").distinct()
     total = texts.groupBy("source").agg(F.count("*").alias("n"))
     tf = texts.select("source", "text", F.explode(word_grams(F.col("text"))).alias("gram")).groupBy("source", "text", "gram").agg(F.count("*").alias("tf"))
     df = tf.groupBy("source", "gram").agg(F.count("*").alias("df"), F.sum("tf").alias("all"))
@@ -118,7 +119,7 @@ def gram_vectors(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> Dat
 def tfidf_cosine(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> DataFrame:
     """(source, <field>_norm_l, <field>_norm_r, <field>_tfidf_cosine) of each distinct pair of texts, neither of them empty."""
     keys = [f"{field}_norm_l", f"{field}_norm_r"]
-    vectors = gram_vectors(wide, field, max_grams).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = cut(gram_vectors(wide, field, max_grams))
     asked = wide.select("source", *keys).where((F.col(keys[0]) != "") & (F.col(keys[1]) != "")).distinct()
     both = asked.join(vectors.select("source", F.col("text").alias(keys[0]), F.col("vector").alias("vl")), ["source", keys[0]]).join(vectors.select("source", F.col("text").alias(keys[1]), F.col("vector").alias("vr")), ["source", keys[1]])
     dot = F.aggregate(F.map_values(F.map_zip_with("vl", "vr", lambda _, x, y: F.coalesce(x * y, F.lit(0.0)))), F.lit(0.0), lambda acc, x: acc + x)
@@ -129,7 +130,7 @@ def compute_features(pairs: DataFrame, s1: DataFrame, others: DataFrame, single:
     """The pair's ids, its source and FEATURES in order (as float, or as double where not single).
 
     Every feature belongs to its own pair, whatever the order of rows; token and gram statistics are those of all pairs of a source."""
-    wide = paired(pairs, s1, others).persist(StorageLevel.MEMORY_AND_DISK)
+    wide = cut(paired(pairs, s1, others))
     keys = [*PAIR, "source"]  # all that follows is joined by the pair, so the features themselves are dealt out once
     local = fuzzy_features(direct_features(wide))
     out = local.select(*keys, *[c for c in FEATURES if c in local.columns])

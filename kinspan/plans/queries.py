@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinspan.functions import normalize as N
 from kinspan.operators import blocking, decide, evaluate, features, labels, models, output, profile, validate
+from kinspan.operators.lineage import cut
 from kinspan.plans import demo, linkage
 from kinspan.schema import PAIR, BlockingConfig, ThresholdConfig, source_of
 
@@ -44,7 +45,7 @@ def candidates(spark: SparkSession, sf_dir: str, cfg: BlockingConfig = BlockingC
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s2, s3 = demo.sources(spark, sf_dir)
-    return features.paired(candidates(spark, sf_dir), s1, s2.unionByName(s3)).persist()  # several of the features read it more than once
+    return cut(features.paired(candidates(spark, sf_dir), s1, s2.unionByName(s3)))  # several of the features read it more than once
 
 
 def direct(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
