@@ -81,10 +81,10 @@ def pareto_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: in
 def take(docs: DataFrame, mixed: DataFrame, seed: int = 17) -> DataFrame:
     """The rows of docs, each as often as pareto_mix decided; equal rows of one id and text share what they are given."""
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    n = mixed.groupBy("row_hash", F.col("source").alias("__s"), F.col("doc_id").alias("__d")).agg(F.sum("copies").alias("__c"), F.count("*").alias("__n"))
+    n = mixed.groupBy(F.col("row_hash").alias("__h"), F.col("source").alias("__s"), F.col("doc_id").alias("__d")).agg(F.sum("copies").alias("__c"), F.count("*").alias("__n"))
     cols = docs.columns
     d = docs.withColumn("__k", key)
-    d = d.join(n, (d["__k"] == n["row_hash"]) & d["source"].eqNullSafe(n["__s"]) & d["doc_id"].eqNullSafe(n["__d"]))
+    d = d.join(n, (d["__k"] == n["__h"]) & d["source"].eqNullSafe(n["__s"]) & d["doc_id"].eqNullSafe(n["__d"]))
     one = d.where(F.col("__n") == 1)
     same = Window.partitionBy("__k", "__s", "__d").orderBy(F.lit(0))
     many = d.where(F.col("__n") > 1).withColumn("__r", F.row_number().over(same))

@@ -22,7 +22,7 @@ ODD = [(-1, None, None, None, None), (-2, "", "en", None, 0), (-3, " \n", "xx",
 
 def docs(spark):
     odd = spark.createDataFrame(ODD, SCHEMA)
-    return table(spark, SF, "documents").select(*odd.columns).unionByName(odd).withColumn("w", F.lit(1)).withColumn("size", F.lit("x")).withColumn("shard", F.lit(None).cast("int")).withColumn("found", F.lit(2))
+    return table(spark, SF, "documents").select(*odd.columns).unionByName(odd).withColumn("w", F.lit(1)).withColumn("size", F.lit("x")).withColumn("shard", F.lit(None).cast("int")).withColumn("found", F.lit(2)).withColumn("row_hash", F.lit(0)).withColumn("copies", F.lit(0))
 
 
 def pages(spark):
