@@ -293,29 +293,111 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     return final.mapInArrow(keep, f"doc_id {dict(base.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed {SPAN}, kept binary")
 
 
+def _starts(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+    """(h, k, doc_id, th, s, before): a row for each string of `length` bytes inside spans (doc_id, th, spans); before is the byte that precedes it, -1 at a text's start."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def each(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            spans, (buf, at) = batch.column("spans"), text_buffer(batch.column("text"))
+            for i in range(batch.num_rows):
+                b = buf[at[i] : at[i + 1]]
+                for x, y in _merged(spans[i].as_py()):
+                    for a in range(x, y - length + 1, SEGMENT):
+                        part = b[a : min(y, a + SEGMENT + length - 1)]
+                        s = np.arange(len(part) - length + 1)
+                        h = span_hash(byte_prefix(part), s, s + length)
+                        k = span_hash(byte_prefix(part ^ np.uint8(0xA5)), s, s + length) >> np.uint64(33)
+                        before = np.where(a + s > 0, b[a + s - 1], np.int16(-1)).astype(np.int16)
+                        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k.astype(np.int32)), *[batch.column(c).take(pa.array(np.full(len(s), i))) for c in ("doc_id", "th")], pa.array((a + s).astype(np.int32)), pa.array(before)], names=["h", "k", "doc_id", "th", "s", "before"])
+
+    return docs.join(spans, ["doc_id", "th"]).select("doc_id", "th", "text", "spans").mapInArrow(each, f"h long, k int, doc_id {kind}, th long, s int, before short")
+
+
+def _merged(spans: list[dict]) -> list[list[int]]:
+    """The ranges (s, e), ascending, where those that touch are one."""
+    out: list[list[int]] = []
+    for s, e in sorted((x["s"], x["e"]) for x in spans):
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return out
+
+
 def maximal_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
-    """(repeat_id, n_bytes, doc_id, start): the groups of equal strings of at least `length` bytes through an anchor, each with all its occurrences.
+    """(repeat_id, n_bytes, doc_id, start): the groups of equal strings of at least `length` bytes that can't be longer, each with all its occurrences.
 
-    A string within an anchor's reach is as long as it can be: its occurrences differ, or the reach ends, on either side. Where a
-    text repeats its own strings, the range that they cover is one row; strings of very frequent anchors have `length` bytes.
+    Occurrences of a group differ in the byte before and in the byte after, or one of them ends there with its text. Every string
+    that repeats is inside such a group; groups hold one another's parts where those stand more often, within a text as well.
+    The strings of `length` bytes inside what suffix_dedup removes are dealt out by their hash. Only where the bytes before differ
+    can a group start: there the suffixes are sorted and their common-prefix intervals scanned, in a task that holds places, not texts.
+    The number of rows is that of the occurrences: for a text that is periodic it grows with the square of the periods.
     Rows are treated as suffix_dedup treats them."""
     some = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    found = _anchored(some, length)
-    held = _held(some, found, length)
+    kind = dict(some.dtypes)["doc_id"]
+    spans = materialize(_spans(some, length).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
+    starts = materialize(_starts(some, spans, length), "starts")
+    heads = starts.groupBy("h", "k").agg(F.count("*").alias("cnt"), F.min("before").alias("lo"), F.max("before").alias("hi")).where("cnt > 1 and (lo < 0 or lo < hi)")
+    want = starts.join(heads.select("h", "k"), ["h", "k"]).groupBy("doc_id", "th").agg(F.collect_set(F.struct("h", "k", "s", "before")).alias("want"))
+
+    def suffixes(batches):
+        import pyarrow as pa
+
+        names = ["h", "k", "doc_id", "s", "before", "data"]
+        for batch in batches:
+            (buf, at), ids = text_buffer(batch.column("text")), batch.column("doc_id")
+            for i in range(batch.num_rows):
+                ranges = _merged(batch.column("spans")[i].as_py())
+                first, ends = np.array([x for x, _ in ranges]), [y for _, y in ranges]
+                rows, have = [], 0
+                as_batch = lambda: pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), ids.take(pa.array([i] * len(rows))), *[pa.array([r[j] for r in rows], t) for j, t in ((2, pa.int32()), (3, pa.int16()), (4, pa.binary()))]], names=names)  # noqa: B023, E731
+                for w in batch.column("want")[i].as_py():
+                    end = ends[int(np.searchsorted(first, w["s"], side="right")) - 1]
+                    rows.append((w["h"], w["k"], w["s"], w["before"], bytes(buf[at[i] + w["s"] : at[i] + end])))
+                    have += len(rows[-1][-1])
+                    if have > SEGMENT:
+                        yield as_batch()
+                        rows, have = [], 0
+                if rows:
+                    yield as_batch()
+
+    found = some.join(want, ["doc_id", "th"]).join(spans, ["doc_id", "th"]).select("doc_id", "text", "spans", "want")
+    found = found.mapInArrow(suffixes, f"h long, k int, doc_id {kind}, s int, before short, data binary")
 
     def scan(batches):
         import pyarrow as pa
 
-        for g, rows in _groups(batches):
-            out = [(g, no, rows[x][0], rows[x][1] - before, before + after) for no, (group, before, after) in enumerate(repeats([r[2][: r[1]][::-1] for r in rows], [r[2][r[1] :] for r in rows], length)) for x in group]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["g", "no", "c", "shift", "n_bytes"])
-
-    groups = held.where(F.col("m") <= IN_TASK).select("g", "c", "off", "data").repartition("g").sortWithinPartitions("g").mapInArrow(scan, "g long, no int, c long, shift int, n_bytes int")
-    runs = found.where("n > 0")
-    near = groups.join(runs, ["g", "c"]).select(F.xxhash64("g", "no").alias("repeat_id"), "n_bytes", "doc_id", (F.col("s") + F.col("shift")).alias("start"))
-    span = F.col("e") - F.col("s")
-    whole = runs.where(~F.col("one")).select(F.xxhash64("g", "c").alias("repeat_id"), span.alias("n_bytes"), "doc_id", F.col("s").alias("start"))
-    own = found.where("n = 0").select(F.xxhash64("doc_id", "th", "s").alias("repeat_id"), span.alias("n_bytes"), "doc_id", F.col("s").alias("start"))
-    hot = _strings(held, length).select(F.xxhash64("h", "k").alias("repeat_id"), F.lit(length).alias("n_bytes"), "doc_id", F.col("s").alias("start"))
-    return near.unionByName(whole).unionByName(own).unionByName(hot)
+        names, id_type = ["h", "k", "no", "n_bytes", "doc_id", "start"], None
+        now, last, ids, at, before, lcp = None, b"", [], [], [], []
+
+        def groups():
+            no, left, places, who = 0, np.array(before), np.array(at, np.int32), pa.array(ids, id_type)
+            for a, b, depth in interval_tree(lcp, length):
+                if 0 <= left[a : b + 1].min() == left[a : b + 1].max():  # goes on alike to the left: part of a longer group
+                    continue
+                n = b - a + 1
+                full = lambda x, t: pa.array(np.full(n, x), t)  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([full(now[0], pa.int64()), full(now[1], pa.int32()), full(no, pa.int32()), full(depth, pa.int32()), who.slice(a, n), pa.array(places[a : b + 1])], names=names)
+                no += 1
+
+        for batch in batches:
+            id_type = batch.column("doc_id").type
+            for h, k, doc, s, prev, data in zip(*[batch.column(c).to_pylist() for c in ("h", "k", "doc_id", "s", "before", "data")], strict=True):
+                if (h, k) != now:
+                    if len(ids) > 1:
+                        yield from groups()
+                    now, last, ids, at, before, lcp = (h, k), data, [], [], [], []
+                else:
+                    lcp.append(_common(last, data))
+                    last = data
+                ids.append(doc)
+                at.append(s)
+                before.append(prev)
+        if len(ids) > 1:
+            yield from groups()
+
+    out = found.repartition("h", "k").sortWithinPartitions("h", "k", "data").mapInArrow(scan, f"h long, k int, no int, n_bytes int, doc_id {kind}, start int")
+    return out.select(F.xxhash64("h", "k", "no").alias("repeat_id"), "n_bytes", "doc_id", "start")

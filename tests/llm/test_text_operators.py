@@ -131,6 +131,31 @@ def test_repeat_groups_hold_equal_strings_and_cover_what_is_removed(spark, rows)
     assert covered == want
 
 
+@pytest.mark.parametrize("in_task", [2048, 1])
+def test_repeat_groups_are_all_maximal_repeats_with_all_occurrences(spark, monkeypatch, in_task):
+    monkeypatch.setattr("kinspan.llm.suffix_dedup.IN_TASK", in_task)
+    rng, length = random.Random(4), 60
+    text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    p, q, own = text(150), text(90), text(75)
+    texts = [text(30) + p + text(30), text(30) + p + text(20), text(10) + p[20:110] + text(40), text(9) + own + text(12) + own + text(5) + own[5:], p[60:] + q, text(20) + p[60:] + q + text(8), q[:70] + text(50), "abc" * 40, p + q, p + q, text(100)]
+    rows = [(i, t, None, None, 1) for i, t in enumerate(texts)] + [(9, texts[9], None, None, 1), (None, texts[0], None, None, 1), (20, None, None, None, 1)]
+    whole = [(i, (t or "").encode()) for i, t, *_ in rows if i is not None]
+    want = []
+    for n in range(length, max(len(b) for _, b in whole) + 1):
+        places = {}
+        for x, (_, b) in enumerate(whole):
+            for a in range(len(b) - n + 1):
+                places.setdefault(b[a : a + n], []).append((x, a))
+        for at in places.values():
+            differ = lambda step: len({whole[x][1][a + step] if 0 <= a + step < len(whole[x][1]) else (x, a) for x, a in at}) > 1  # noqa: B023, E731
+            if len(at) > 1 and differ(-1) and differ(n):
+                want.append((n, sorted((whole[x][0], a) for x, a in at)))
+    groups = {}
+    for r in maximal_repeats(frame(spark, rows), length).collect():
+        groups.setdefault((r.repeat_id, r.n_bytes), []).append((r.doc_id, r.start))
+    assert sorted((n, sorted(at)) for (_, n), at in groups.items()) == sorted(want) and len(want) > 20
+
+
 def test_interval_tree_and_maximal_repeats():
     assert sorted(interval_tree([2, 3, 0, 1], 1)) == [(0, 2, 2), (1, 2, 3), (3, 4, 1)]
     assert sorted(interval_tree([0, 0], 0)) == [(0, 2, 0)]
