@@ -72,6 +72,26 @@ def _alive(h: np.ndarray, woff: np.ndarray, rows: np.ndarray, lists: list, lengt
     return ok
 
 
+def _whole(h: np.ndarray, woff: np.ndarray) -> np.ndarray:
+    """Each row's hash of its whole text: a sum over words that depends on the place."""
+    acc = np.zeros(len(h) + 1, np.uint64)
+    acc[1:] = np.cumsum(_mixed(h, np.arange(len(h), dtype=np.uint64) - np.repeat(woff[:-1], np.diff(woff)).astype(np.uint64)))
+    return acc[woff[1:]] - acc[woff[:-1]]
+
+
+def _copied(col, row0: int, h: np.ndarray, woff: np.ndarray) -> np.ndarray:
+    """Mask of the rows whose whole text is marked (level -1) in their id's list; other rows of that id are no copies."""
+    n = len(woff) - 1
+    out = np.zeros(n, bool)
+    offs = np.asarray(col.offsets)[row0 : row0 + n + 1]
+    level, g = (x.to_numpy(zero_copy_only=False)[offs[0] : offs[-1]] for x in col.values.flatten())
+    marks = np.flatnonzero(level < 0)
+    if len(marks):
+        row = np.searchsorted(offs - offs[0], marks, side="right") - 1
+        out[row[_whole(h, woff)[row] == g[marks].view(np.uint64)]] = True
+    return out
+
+
 def _lists(col, row0: int, n: int, depth: int) -> list:
     """Per row: for each level the seeds (uint64) of a column list<struct<level, g>>; None where there are none."""
     out: list = [None] * n
@@ -99,7 +119,7 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
 
     At each level a document is known by its windows' seeds. A shuffle by seed finds those that more than one document has;
     windows whose seeds repeat at one level alone are taken to the level of twice that length, up to the window
-    itself, whose own hash (96 bits) decides. Whole copies of a document are settled at the first level.
+    itself, whose own hash (96 bits) decides. Rows that are whole copies of a document are settled at the first level, row by row.
     Returns doc_id, n_words, n_removed, kept_sha256, kept_text.
 
     Null text counts as empty; rows of fewer words lose nothing; a row with a null doc_id neither removes nor loses
@@ -120,12 +140,8 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
                 at = _once(seed, ok, woff)
                 row = np.searchsorted(woff, at, side="right") - 1
                 full = np.flatnonzero(np.diff(woff) >= window)
-                acc = np.zeros(len(h) + 1, np.uint64)  # whole texts: a sum over words that depends on the place
-                place = np.arange(len(h), dtype=np.uint64)
-                acc[1:] = np.cumsum(_mixed(h, place - np.repeat(woff[:-1], np.diff(woff)).astype(np.uint64)))
-                whole = acc[woff[1:]] - acc[woff[:-1]]
-                acc[1:] = np.cumsum(_mixed(h ^ np.uint64(SECOND), place - np.repeat(woff[:-1], np.diff(woff)).astype(np.uint64)))
-                other = ((acc[woff[1:]] - acc[woff[:-1]]) >> np.uint64(33)).astype(np.int32)
+                whole = _whole(h, woff)
+                other = (_whole(h ^ np.uint64(SECOND), woff) >> np.uint64(33)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([seed[at], whole[full]]).view(np.int64)), pa.array(np.concatenate([np.full(len(at), -1, np.int32), other[full]])),
                                                   ids.take(pa.array(np.concatenate([row, full]) + i))], names=["g", "k", "doc_id"])
 
@@ -139,7 +155,7 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
                 ids, found = batch.column("doc_id"), batch.column("found")
                 for i, h, woff in _hashed(batch.column("text")):
                     n = len(woff) - 1
-                    ok = _alive(h, woff, np.arange(n), _lists(found, i, n, depth), steps[:depth], window)
+                    ok = _alive(h, woff, np.flatnonzero(~_copied(found, i, h, woff)), _lists(found, i, n, depth), steps[:depth], window)
                     if not ok.any():
                         continue
                     seed = _seeds(h, length, window)
@@ -154,19 +170,18 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     listed = lambda x: x.groupBy("doc_id").agg(F.collect_list(F.struct("level", "g")).alias("found"))
     some = base.where(F.col("doc_id").isNotNull())  # the same exchange of texts serves every level and the result
     rep = _repeated(some.mapInArrow(first, schema))
-    known = rep.where((F.col("k") < 0) | (F.col("doc_id") > F.col("lo"))).select("doc_id", F.when(F.col("k") < 0, 0).otherwise(-1).alias("level"), "g")
+    known = rep.where((F.col("k") < 0) | (F.col("doc_id") > F.col("lo"))).select("doc_id", F.when(F.col("k") < 0, 0).otherwise(-1).alias("level"), "g")  # at level -1 the hash of the whole text
     lists = materialize(listed(known), "repeats")
-    is_copy = F.exists("found", lambda x: x["level"] < 0)
     gone = None
     for depth in range(1, len(steps)):
-        alive = some.join(lists.where(~is_copy), "doc_id").select("doc_id", "text", "found")
+        alive = some.join(lists, "doc_id").select("doc_id", "text", "found")
         rep = _repeated(alive.mapInArrow(further(depth), schema))
         if depth == len(steps) - 1:
             gone = rep.where(F.col("doc_id") > F.col("lo")).select("doc_id", F.lit(0).alias("level"), "g")
         else:
             more = lists.select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.level", "x.g").unionByName(rep.select("doc_id", F.lit(depth).alias("level"), "g"))
             lists = materialize(listed(more), "repeats")
-    copies = lists.where(is_copy).select("doc_id", F.lit(-1).alias("level"), F.lit(0).cast("long").alias("g"))
+    copies = lists.select("doc_id", F.explode("found").alias("x")).where("x.level < 0").select("doc_id", "x.level", "x.g")
     gone = copies if gone is None else gone.unionByName(copies)
     lone = base.where(F.col("doc_id").isNull()).withColumn("found", F.lit(None).cast("array<struct<level:int,g:bigint>>"))
     final = some.join(listed(gone), "doc_id", "left").select("doc_id", "text", "found").unionByName(lone)
@@ -184,11 +199,11 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
                 a, b = (offs[i], offs[i + 1]) if found[i].is_valid else (0, 0)
                 n.append(len(words))
                 if b > a and len(words) >= window:
-                    if level[a:b].min() < 0:
+                    _, h, woff = next(_hashed(pa.array([t])))
+                    if _copied(found.slice(i, 1), 0, h, woff)[0]:
                         words = []
                     else:
-                        _, h, _ = next(_hashed(pa.array([t])))
-                        at = np.isin(windows_of(h, window), g[a:b].view(np.uint64))
+                        at = np.isin(windows_of(h, window), g[a:b][level[a:b] >= 0].view(np.uint64))
                         edge = np.zeros(len(words) + 1, np.int64)
                         edge[: len(at)] += at
                         edge[window : window + len(at)] -= at

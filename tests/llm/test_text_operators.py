@@ -92,6 +92,24 @@ def test_substring_dedup(spark, rows):
     assert got == want and any(v[1] for v in want.values())
 
 
+def test_a_whole_copy_settles_its_row_and_not_its_id(spark):
+    rng = random.Random(6)
+    text = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, c = text(40), text(40), text(15)
+    rows = [(1, a), (2, a), (2, b), (3, b[5:25] + c), (4, b), (4, a[:20] + c), (4, a[:12])]
+    first, want = {}, []
+    for i, w in rows:
+        for x in range(len(w) - 12):
+            first.setdefault(tuple(w[x : x + 13]), i)
+    for i, w in rows:
+        gone = {y for x in range(len(w) - 12) if first[tuple(w[x : x + 13])] < i for y in range(x, x + 13)}
+        want.append((i, len(w), len(gone), " ".join(v for y, v in enumerate(w) if y not in gone)))
+    for window_rows in (rows, rows[:3], rows[::-1]):
+        got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in substring_dedup(frame(spark, [(i, " ".join(w), None, None, 1) for i, w in window_rows])).collect())
+        assert got == sorted(want[rows.index(r)] for r in window_rows)
+    assert [x[2] for x in want] == [0, 40, 0, 20, 40, 35, 0]
+
+
 def test_levels():
     assert levels(13) == [7, 13] and levels(50) == [7, 13, 25, 50] and levels(3) == [3]
 
