@@ -11,15 +11,15 @@ from kinspan.llm.native import shingle_hashes, shingle_strings
 
 
 def sketches(items: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(part, limit, item_id, h): each item's least shingle hashes, as many as a document with num/den of its n shingles can't miss.
+    """(part, limit, item_id, own, h): each item's least shingle hashes, as many as a document with num/den of its n shingles can't miss.
 
     Items are partitioned by the power of two of n. limit is the largest hash of a partition's sketches: a document's own
     sketch for that partition is what it has up to there."""
-    h = items.select("item_id", F.explode(F.array_distinct(shingle_hashes(F.col("text"), k))).alias("h")).distinct()
-    w = Window.partitionBy("item_id")
+    h = items.select("item_id", "own", F.explode(F.array_distinct(shingle_hashes(F.col("text"), k))).alias("h")).distinct()
+    w = Window.partitionBy("item_id", "own")
     h = h.withColumn("n", F.count("*").over(w)).withColumn("nth", F.row_number().over(w.orderBy("h")))
     h = h.where(F.col("nth") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1).withColumn("part", F.floor(F.log2("n")).cast("int"))
-    return h.withColumn("limit", F.max("h").over(Window.partitionBy("part"))).select("part", "limit", "item_id", "h")
+    return h.withColumn("limit", F.max("h").over(Window.partitionBy("part"))).select("part", "limit", "item_id", "own", "h")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -30,8 +30,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, num: int = 8
 
     Null or empty texts, and items of fewer than k words, match nothing. Repeated rows are reported once; rows that share
     a doc_id and differ in text are told apart by text_hash; a null doc_id is a value. Items that share an item_id are one
-    item with the shingles of all. Other columns are ignored."""
-    items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text")
+    item with the shingles of all; without an item_id each text is an item of its own. Other columns are ignored."""
+    items = benchmark.select("item_id", F.when(F.col("item_id").isNull(), F.xxhash64("text")).otherwise(0).alias("own"), "text")
     known = materialize(sketches(items, k, num, den), "sketches")
     limit = known.agg(F.max("h").alias("h")).first().h
     base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
@@ -39,12 +39,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = 5, num: int = 8
         limit = -(1 << 63)
     low = F.filter(shingle_hashes(F.col("text"), k), lambda h: h <= F.lit(limit))
     hits = base.select("doc_id", "text_hash", F.explode(low).alias("h")).join(small(known), "h")
-    found = materialize(hits.where(F.col("h") <= F.col("limit")).select("doc_id", "text_hash", "item_id").distinct(), "candidates")
-    whole = items.select("item_id", F.explode(shingle_strings(F.col("text"), k)).alias("s")).groupBy("item_id").agg(F.collect_set("s").alias("want"))
-    asked = found.join(whole, "item_id").select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), "item_id", "want")
+    found = materialize(hits.where(F.col("h") <= F.col("limit")).select("doc_id", "text_hash", "item_id", "own").distinct(), "candidates")
+    whole = items.select(F.col("item_id").alias("__i"), F.col("own").alias("__o"), F.explode(shingle_strings(F.col("text"), k)).alias("s")).groupBy("__i", "__o").agg(F.collect_set("s").alias("want"))
+    asked = found.join(whole, F.col("item_id").eqNullSafe(F.col("__i")) & (F.col("own") == F.col("__o"))).select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t"), "item_id", "own", "want")
     met = base.join(small(asked), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("text_hash") == F.col("__t")))
-    met = met.select("doc_id", "text_hash", "item_id", F.size("want").cast("long").alias("n_shingles"), F.size(F.array_intersect("want", shingle_strings(F.col("text"), k))).cast("long").alias("n_shared"))
-    return met.where(F.col("n_shared") * den >= F.col("n_shingles") * num).distinct().withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    met = met.select("doc_id", "text_hash", "item_id", "own", F.size("want").cast("long").alias("n_shingles"), F.size(F.array_intersect("want", shingle_strings(F.col("text"), k))).cast("long").alias("n_shared"))
+    return met.where(F.col("n_shared") * den >= F.col("n_shingles") * num).distinct().drop("own").withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -24,7 +24,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinspan.llm.decontamination import contaminated
 
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
+    # the SQL joins by item_id, so it reports no item without one
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).where("item_id is not null").select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -260,6 +260,15 @@ def test_contaminated(spark, rows):
     assert contaminated(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_items_without_an_id_are_found_one_by_one(spark):
+    text = lambda a, n: " ".join(f"t{x}" for x in range(a, a + n))
+    bench = spark.createDataFrame([(None, text(100, 20)), (None, text(200, 20)), (None, text(300, 12)), (1, text(400, 20))], "item_id long, text string")
+    rows = [(i, text(1000 * i, 9) + " " + t, None, None, 1) for i, t in enumerate((text(100, 20), text(200, 20) + " x " + text(400, 20), text(700, 30)), 1)]
+    got = sorted(((r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in contaminated(frame(spark, rows), bench).collect()), key=str)
+    assert got == [(1, None, 16, 16), (2, 1, 16, 16), (2, None, 16, 16)]
+    assert [r.doc_id for r in drop_contaminated(frame(spark, rows), bench).collect()] == [3]
+
+
 def test_quality_rules(spark, rows):
     want = {}
     for i, text, *_ in rows:
