@@ -10,7 +10,6 @@ from kinspan.llm.features import language_features
 
 DIMS = 2048
 PER_LANG = 1000  # rows a language that a model is fitted on
-LANGS = 256  # most languages that a model is fitted on, the commonest first
 
 
 def remainder(doc_id: Column) -> Column:
@@ -63,9 +62,9 @@ def fit_bits(x: np.ndarray, y: np.ndarray, rounds: int = 150, l2: float = 1e-5)
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG, dims: int = DIMS) -> Model | None:
-    """Fits on at most about per_lang rows for each of at most LANGS languages, chosen by a hash of the id, of the rows whose remainder is not 0."""
+    """Fits on at most about per_lang rows for each language, chosen by a hash of the id, of the rows whose remainder is not 0."""
     learn = docs.where((remainder(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()
+    counts = learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
     if not counts:
         return None
     langs = sorted(r.lang for r in counts)

@@ -137,6 +137,12 @@ def test_language_id(spark):
     assert language_id.identify(d.limit(0)).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    ids = [i for i in range(1, 400) if remainder(i) != 0][:300]
+    rows = [(i, f"lang{j} " * 20, f"l{j}", "a", 1) for j, i in enumerate(ids)]
+    assert language_id.fit(spark.createDataFrame(rows, SCHEMA)).langs == sorted(f"l{j}" for j in range(300))
+
+
 def test_codewords_are_far_apart():
     for k in (2, 3, 4, 6, 20):
         code = language_id.codewords(k)
