@@ -413,10 +413,10 @@ def _labelled(spark, sf_dir):
 @query
 def gbt_scores(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
-    return models.score_pairs(rows, models.fit_gbt(rows.select(*features.FEATURES, "label"), rounds=10))
+    return models.score_pairs(rows, models.fit_gbt(rows.select(*features.FEATURES, "label")))
 
 
 @query
 def logreg_scores(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
-    return models.score_pairs(rows, models.fit_logistic(rows.select(*features.FEATURES, "label"), rounds=20))
+    return models.score_pairs(rows, models.fit_logistic(rows.select(*features.FEATURES, "label")))

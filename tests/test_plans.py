@@ -1,3 +1,8 @@
+import inspect
+from unittest.mock import MagicMock
+
+import pytest
+
 from kinspan.operators import models
 from kinspan.plans import demo, linkage, oracles, queries
 from kinspan.schema import ThresholdConfig
@@ -36,3 +41,14 @@ def test_entry_runs(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(("name", "fit", "least"), [("gbt_scores", "fit_gbt", 400), ("logreg_scores", "fit_logistic", 1000)])
+def test_training_queries_run_all_rounds_of_the_operators(monkeypatch, name, fit, least):
+    usual, seen = inspect.signature(getattr(models, fit)), []
+    monkeypatch.setattr(queries, "_labelled", lambda *_: MagicMock())
+    monkeypatch.setattr(models, fit, lambda *a, **b: seen.append(usual.bind(*a, **b)))
+    monkeypatch.setattr(models, "score_pairs", lambda *_: None)
+    queries.queries()[name](None, "")
+    seen[0].apply_defaults()
+    assert seen[0].arguments["rounds"] == least
