@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinspan.llm import language_id, quality_classifier, warc
+from kinspan.llm import language_id, quality_classifier, sharding, warc
 from kinspan.llm.common import table
 from kinspan.llm.mixing import pareto_mix, take, targets
 from kinspan.llm.sharding import kd_shards
@@ -120,6 +120,16 @@ def test_a_heavy_group_fills_a_shard_alone(spark):
     assert len(heavy) == 1 and max(rest) <= 1.1 * min(rest)
 
 
+def test_many_small_groups_are_dealt_by_the_tree(spark, monkeypatch):
+    put = []
+    monkeypatch.setattr("kinspan.llm.sharding._prefit", lambda *a, usual=sharding._prefit: put.append(usual(*a)) or put[-1])
+    rows = [(i, f"text {i} " + "x" * (i % 37), None, f"s{i % 5}", None) for i in range(3000)]
+    size = Counter()
+    for r in kd_shards(spark.createDataFrame(rows, SCHEMA), 8).collect():
+        size[r.shard] += r.size
+    assert put[0][0] == [] and set(size) == set(range(8)) and max(size.values()) <= 1.05 * min(size.values())
+
+
 def remainder(i):
     return zlib.crc32(b"" if i is None else str(i).encode()) % 5
 
