@@ -190,28 +190,52 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
 # --- connected components ------------------------------------------------------------------------------------------
 
 
+def _roots(batches):
+    """Of all edges (u, v, moved) of a task: each node that is not its group's smallest, with that one; whether another task may need to know; the task."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    got = [b for b in batches if b.num_rows]
+    if not got:
+        return
+    t = pa.Table.from_batches(got)
+    u, v = (t.column(c).to_numpy() for c in "uv")
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(ids))
+    while (root[a] != root[b]).any():
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while (root[root] != root).any():
+            root = root[root]
+    out = np.flatnonzero(root != np.arange(len(ids)))
+    known = np.zeros(len(ids), bool)
+    known[a] = True
+    moved = ~known[out] | bool(t.column("moved").to_numpy(zero_copy_only=False).any())
+    task = TaskContext.get().partitionId()
+    kind = t.schema.field("u").type
+    for i in range(0, len(out), 1 << 16):
+        j = out[i : i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[j], kind), pa.array(ids[root[j]], kind), pa.array(moved[i : i + (1 << 16)]), pa.array(np.full(len(j), task, np.int32))], names=["u", "v", "moved", "task"])
+
+
 def components(edges: DataFrame, tag: str = "cc", rounds: int = 40) -> DataFrame:
     """(node, comp): comp is the smallest node that a path of edges (a, b) reaches. Nodes without an edge are absent.
 
-    Alternates large-star and small-star steps; each moves O(edges) rows and the number of rounds grows with the
-    logarithm of the longest path. Every round is written to the shared folder; nothing is collected."""
-    e = materialize(
-        edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), tag)
-    last = None
+    Each round deals the edges by their larger end, so that a hub's edges go to many tasks; a task replaces its edges by stars around the smallest
+    nodes of the groups that they form, then every edge moves on to the parent of its smaller end. What one task has seen
+    as a whole, or what no longer moves, is done. The number of rounds grows with the logarithm of the longest path. Every round is
+    written to the shared folder; nothing is collected."""
+    kind = dict(edges.dtypes)["a"]
+    e = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"), F.lit(True).alias("moved"))
     for _ in range(rounds):
-        both = e.select("u", "v").union(e.select(F.col("v"), F.col("u")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                                              F.col("m").alias("v"))
-        e = materialize(small.where(F.col("u") != F.col("v")).distinct(), tag)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
+        e = materialize(e.repartition("u").mapInArrow(_roots, f"u {kind}, v {kind}, moved boolean, task int"), tag)
+        seen = e.agg(F.min("task").alias("lo"), F.max("task").alias("hi"), F.bool_or("moved").alias("moved")).first()
+        if seen.lo == seen.hi or not seen.moved:
             break
-        last = now
+        up = e.groupBy("u").agg(F.min("v").alias("w")).select(F.col("u").alias("v"), "w")
+        e = e.select("u", "v").join(up, "v", "left").select("u", F.coalesce("w", "v").alias("v"), F.col("w").isNotNull().alias("moved"))
     else:
         raise RuntimeError("the components have not settled")
     node = e.select(F.col("u").alias("node"), F.col("v").alias("comp"))

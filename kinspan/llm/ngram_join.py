@@ -5,15 +5,16 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinspan.llm.common import byte_prefix, components, lower_ascii, materialize, mix, pieces, span_hash, text_buffer, windows_of, words_of
 
-COMBINE = 2  # tokens of a combination
-EXTEND = 2 * COMBINE - 1  # shared tokens of two extended prefixes: COMBINE of the rare class or COMBINE of the frequent one
-RARE = 8  # documents that a token of the rare class stands in at most, among the prefixes
-SLOTS = 1 << 26  # bits of each table of tokens that are not unique, or not rare: the bound of what is broadcast. A full table changes the work, not the links
-BUCKETS = 1 << 20  # of the table that keeps texts of no candidate out of the shuffle: the bound of what is broadcast
+COMBINE = 2  # frequent tokens of a combination; so many rare ones must be shared one by one
+RARE = 8  # documents that a rare token stands in at most, and that a bucket holds whose documents are all compared
+#: A token's class is how many of these numbers of documents it reaches: classes put tokens in order, rare ones first.
+CLASSES = (2, RARE + 1, 1 << 12, 1 << 20)
+SLOTS = 1 << 26  # bits of each class's table, a fixed size; a full table changes the work, not the links
+SLICES = 16  # of a task's tokens, counted one after the other
+BUCKETS = 1 << 18  # of the table that keeps texts of no candidate out of the shuffle: the bound of what is broadcast
 SALT = 256  # documents that one task compares with a centre, about
 BLOCK = 128  # documents of a block, about; a task compares two blocks
 
@@ -38,38 +39,56 @@ def shingle_sets(col, shingle: int, lower: bool):
 
 
 class Rule:
-    """num / den is the least Jaccard similarity of two linked sets."""
+    """num / den is the least Jaccard similarity of two linked sets.
+
+    Two linked sets share the first `extra` of their common tokens within their extended prefixes, the first n - overlap +
+    extra tokens. Of these, COMBINE are rare, or more than `parts` are frequent: dealt into that many parts, two of
+    them meet in one. So rare tokens are indexed one by one and frequent ones as pairs within a part."""
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
 
-    def level_of(self, n: int) -> int:
-        """The size class of n: sets that may link are of the same class or of neighbouring ones."""
-        return int(np.floor(np.log(n) / np.log(self.den / self.num) + 1e-9))
+    def parts(self, n: int) -> tuple[int, int]:
+        """Into how many parts frequent tokens are dealt, for sets down to the size class below n's and for those of n's own.
 
-    def differ(self, level: int) -> int:
-        """Tokens that two linked sets of the classes level and level + 1 do not share, at most."""
-        most = int(np.ceil((self.den / self.num) ** (level + 2))) + 1
-        return 2 * most * (self.den - self.num) // (self.num + self.den) + 1
+        Sets that may link are of one size class or of neighbouring ones, so they have one of the two numbers in common."""
+        level = int(np.floor(np.log(n) / np.log(self.den / self.num) + 1e-9))
+        of = lambda lv: max(1, int((self.den / self.num) ** lv * (self.den - self.num) / self.den / 2))
+        return of(level - 1), of(level)
 
     def prefix(self, n: int) -> int:
-        return n + (-n * self.num // self.den) + EXTEND
-
-    def overlap(self, nx: Column, ny: Column) -> Column:
-        return F.ceil((nx + ny) * self.num / (self.num + self.den) - 1e-9)
-
-    def may_link(self, x: str, y: str) -> Column:
-        """Whether sizes allow a link, and both places are in the prefixes as this pair needs them."""
-        nx, ny, px, py = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.p"), F.col(f"{y}.p")
-        need = self.overlap(nx, ny)
-        return (F.least(nx, ny) * self.den >= F.greatest(nx, ny) * self.num) & (px <= nx - need + EXTEND - 1) & (py <= ny - need + EXTEND - 1)
-
-
-def _frequent(base: DataFrame, shingle: int, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit tables over tokens' slots: which tokens more than one row has, and which more than RARE rows have.
-
-    Every token of every row is counted. Tokens travel as 32 bits of their hash in one block for each partition and piece
-    of text; a partition's counts become bits where they are, and only the tables' words go to the driver."""
+        return n + (-n * self.num // self.den) + self.parts(n)[1] + COMBINE
+
+    def sizes(self, x: Column, y: Column) -> Column:
+        """Whether sets of these sizes can be similar enough."""
+        return F.least(x, y) * self.den >= F.greatest(x, y) * self.num
+
+
+def index_keys(tokens: np.ndarray, classes: np.ndarray, rule: Rule) -> np.ndarray:
+    """Keys under which a set is indexed: even ones for rare tokens, odd ones for combinations of frequent tokens. Tokens of one document have none."""
+    n = len(tokens)
+    if not n:
+        return tokens
+    first = np.argsort(classes, kind="stable")[: rule.prefix(n)]
+    tokens, classes = tokens[first], classes[first]
+    out, often = [mix(tokens[classes == 1]) & ~np.uint64(1)], tokens[classes > 1]
+    for m in sorted(set(rule.parts(n))):
+        part = mix(often + np.uint64(m)) % np.uint64(m)
+        order = np.lexsort((often, part))
+        t, part = often[order], part[order]
+        for d in range(1, len(t)):
+            same = np.flatnonzero(part[d:] == part[:-d])
+            if not len(same):
+                break
+            out.append(mix(t[same] * np.uint64(0x9E3779B97F4A7C15) + mix(t[same + d] + np.uint64(m))) | np.uint64(1))
+    return np.unique(np.concatenate(out))
+
+
+def _classes(base: DataFrame, shingle: int, lower: bool) -> np.ndarray:
+    """A bit table over tokens' slots for each number of CLASSES: which tokens stand in at least so many rows.
+
+    Every token of every row is counted. Tokens travel as 32 bits of their hash, a block for each partition and piece of
+    text; a slice's counts become bits where they are, and only the tables' words, of which there is a fixed number, go to the driver."""
     parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches):
@@ -77,19 +96,19 @@ def _frequent(base: DataFrame, shingle: int, lower: bool) -> tuple[np.ndarray, n
 
         def block(tokens):
             t = np.concatenate(tokens)
-            p = (t >> np.uint64(33)) % np.uint64(parts)
+            p = (t >> np.uint64(33)) % np.uint64(parts * SLICES)
             order = np.argsort(p, kind="stable")
-            cut = np.searchsorted(p[order], np.arange(parts + 1))
+            cut = np.searchsorted(p[order], np.arange(parts * SLICES + 1))
             low = (t[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             some = np.flatnonzero(np.diff(cut))
-            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([low[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary())], names=["p", "tokens"])
+            return pa.RecordBatch.from_arrays([pa.array(some // SLICES, pa.int32()), pa.array(some % SLICES, pa.int32()), pa.array([low[cut[i] : cut[i + 1]].tobytes() for i in some], pa.binary())], names=["p", "q", "tokens"])
 
         held, size = [], 0
         for batch in batches:
             for _, s in shingle_sets(batch.column("text"), shingle, lower):
                 held.append(s)
                 size += len(s)
-                if size > 1 << 19:
+                if size > 1 << 20:
                     yield block(held)
                     held, size = [], 0
         if size:
@@ -98,15 +117,11 @@ def _frequent(base: DataFrame, shingle: int, lower: bool) -> tuple[np.ndarray, n
     def bits(batches):
         import pyarrow as pa
 
-        seen: dict[int, list] = {}
-        for batch in batches:
-            for p, blob in zip(batch.column("p").to_pylist(), batch.column("tokens"), strict=True):
-                seen.setdefault(p, []).append(np.frombuffer(blob.as_buffer(), np.uint32))
-        for p, found in seen.items():
+        def words(found):
             t = np.sort(np.concatenate(found))
             first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
             n = np.diff(np.append(first, len(t)))
-            for table, least in ((0, 2), (1, RARE + 1)):
+            for table, least in enumerate(CLASSES):
                 slot = np.unique(t[first[n >= least]].astype(np.int64) & (SLOTS - 1))
                 if len(slot):
                     word = slot >> 6
@@ -114,16 +129,28 @@ def _frequent(base: DataFrame, shingle: int, lower: bool) -> tuple[np.ndarray, n
                     value = np.bitwise_or.reduceat(np.left_shift(np.uint64(1), (slot & 63).astype(np.uint64)), at)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), table, np.int32)), pa.array(word[at].astype(np.int32)), pa.array(value.view(np.int64))], names=["table", "word", "bits"])
 
-    sent = base.select("text").mapInArrow(send, "p int, tokens binary").repartitionById(parts, F.col("p"))
+        now, found = None, []
+        for batch in batches:
+            for p, q, blob in zip(batch.column("p").to_pylist(), batch.column("q").to_pylist(), batch.column("tokens"), strict=True):
+                if (p, q) != now and found:
+                    yield from words(found)
+                    found = []
+                now = p, q
+                found.append(np.frombuffer(blob.as_buffer(), np.uint32).copy())
+        if found:
+            yield from words(found)
+
+    sent = base.select("text").mapInArrow(send, "p int, q int, tokens binary").repartitionById(parts, F.col("p")).sortWithinPartitions("p", "q")
     words = sent.mapInArrow(bits, "table int, word int, bits long").groupBy("table", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros((2, SLOTS >> 6), np.uint64)
+    out = np.zeros((len(CLASSES), SLOTS >> 6), np.uint64)
     out[words.column("table").to_numpy(), words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return out[0], out[1]
+    return out
 
 
-def _has(table: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+def _class_of(tables: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     slot = (tokens & np.uint64(SLOTS - 1)).astype(np.int64)
-    return (table[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+    word, bit = slot >> 6, (slot & 63).astype(np.uint64)
+    return sum(((t[word] >> bit) & np.uint64(1)).astype(np.int8) for t in tables)
 
 
 def _with_texts(docs: DataFrame, wants: DataFrame) -> DataFrame:
@@ -135,15 +162,14 @@ def _with_texts(docs: DataFrame, wants: DataFrame) -> DataFrame:
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, shingle: int, lower: bool) -> DataFrame:
-    """Those of pairs (a: centre, b) whose sets are at least as similar as rule says. Texts go to their centres; none is expanded twice for one centre."""
+    """Those of pairs (a: centre, b) whose sets are at least as similar as rule says. A centre's pairs are dealt to tasks of about SALT; its text goes to each of them."""
     pairs = materialize(pairs, "pairs")
     salts = pairs.groupBy("a").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / SALT)).cast("int").alias("salts"))
     salted = pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     wants = salted.select(F.col("b").alias("doc_id"), F.col("a").alias("centre"), "salt", F.lit(1).alias("role")).unionByName(
-        salted.select(F.col("a").alias("doc_id"), F.col("a").alias("centre"), "salt", F.lit(0).alias("role")).distinct())
-    wants = materialize(wants.groupBy("doc_id").agg(F.collect_list(F.struct("centre", "salt", "role")).alias("wants")), "wants")
-    one = _with_texts(docs, wants).select("doc_id", "text", F.explode("wants").alias("w"))
-    sent = one.select("w.centre", "w.salt", "w.role", "doc_id", "text").repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role")
+        salts.select(F.col("a").alias("doc_id"), F.col("a").alias("centre"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role")))
+    sent = _with_texts(docs, materialize(wants, "wants"))
+    sent = sent.select("centre", "salt", "role", "doc_id", "text").repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role")
     num, den = rule.num, rule.den
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -172,43 +198,6 @@ def _verified(docs: DataFrame, pairs: DataFrame, rule: Rule, shingle: int, lower
     return materialize(sent.mapInArrow(compare, f"a {kind}, b {kind}"), "links")
 
 
-def _combinations(docs: DataFrame, chosen: DataFrame, rule: Rule, shingle: int, lower: bool) -> DataFrame:
-    """(t, doc_id): for the chosen documents (doc_id) the combinations of tokens under which frequent ones are indexed.
-
-    Prefixes are extended to the whole sets here. A level's token classes are more than the tokens that two linked sets of
-    its sizes can have apart, so the sets agree in some class: all the tokens of a class make one combination, about
-    den / (den - num) of them. More classes than that are taken so that a class is found that is not empty; a set
-    with too many empty ones is indexed under these, too."""
-    kind = dict(docs.dtypes)["doc_id"]
-
-    def emit(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            ids = batch.column("doc_id")
-            for i, s in shingle_sets(batch.column("text"), shingle, lower):
-                if not len(s):
-                    continue
-                out, level = [], rule.level_of(len(s))
-                for lv in (level - 1, level):
-                    spare = rule.differ(lv) // 16 + 2
-                    classes = rule.differ(lv) + spare
-                    h = mix(s + np.uint64(lv + 2))
-                    part = (h % np.uint64(classes)).astype(np.int64)
-                    order = np.argsort(part, kind="stable")
-                    part = part[order]
-                    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-                    whole = np.add.reduceat(mix(h[order] ^ np.uint64(0x5851F42D4C957F2D)), first)
-                    out.append(mix(whole + part[first].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-                    if classes - len(first) >= spare:
-                        none = np.setdiff1d(np.arange(classes), part[first]).astype(np.uint64)
-                        out.append(mix(none * np.uint64(0x9E3779B97F4A7C15) + np.uint64(lv + 2)))
-                t = np.concatenate(out)
-                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), ids.take(pa.array(np.full(len(t), i)))], names=["t", "doc_id"])
-
-    return _with_texts(docs, chosen).select("doc_id", "text").mapInArrow(emit, f"t long, doc_id {kind}")
-
-
 def _within(docs: DataFrame, clusters: DataFrame, rule: Rule, shingle: int, lower: bool) -> DataFrame:
     """Links (a, b) that join the documents of each cluster (cluster, doc_id, m: its size) as all their links do: a forest for any two of its blocks.
 
@@ -278,97 +267,68 @@ def _within(docs: DataFrame, clusters: DataFrame, rule: Rule, shingle: int, lowe
     return sent.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
-def _mixed_buckets(index: DataFrame) -> DataFrame:
-    """Rows of those buckets t whose documents are not all of one component yet, with the bucket's size."""
-    w = Window.partitionBy("t")
-    out = index.withColumn("c1", F.min("comp").over(w)).withColumn("c2", F.max("comp").over(w)).withColumn("cnt", F.count("*").over(w))
-    return out.where("c1 != c2").drop("c1", "c2")
-
-
-def _across(index: DataFrame, rule: Rule, times: int) -> DataFrame:
-    """Pairs of documents of different components that share `times` buckets, as far as sizes and places allow a link."""
-    x, y = index.alias("x"), index.alias("y")
-    met = x.join(y, (F.col("x.t") == F.col("y.t")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.comp") != F.col("y.comp")) & rule.may_link("x", "y"))
-    return met.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("c")).where(F.col("c") >= times).select("a", "b")
-
-
 def ngram_groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100, lower: bool = False) -> DataFrame:
     """doc_id, n_shingles, class_id and component_id of every row of docs (doc_id, text): the groups that links of Jaccard similarity >= num/den (0.75 at least) form.
 
-    Rows with equal sets are one class, named after its smallest doc_id, which alone goes on. Tokens are ordered rare ones first. Two sets that
-    are similar enough share EXTEND tokens of their extended prefixes: so either COMBINE of the rare class, each indexed by
-    itself, or COMBINE frequent ones. Documents that have as many of these are indexed under combinations of tokens. Those that
-    share a combination with its smallest doc_id form that document's star: two that share a combination are in one star. What
-    stars join, or if that is less the stars one by one, is compared in blocks. Before that, each token's documents
-    are compared with the one that holds it earliest; buckets whose documents are all in one group by then need
-    no pair. Links are decided on whole sets.
+    Rows with equal sets are one class, named after its smallest doc_id, which alone goes on. Tokens are ordered rare ones
+    first; a set is indexed under the rare tokens of its extended prefix one by one and under combinations of the frequent
+    ones (see Rule). Documents that share one combination or COMBINE rare tokens are candidates: all with all in buckets of at most
+    RARE documents, in larger ones at first all with the smallest doc_id. Larger buckets that hold documents of several groups after
+    that are compared all with all, in blocks; buckets with the same smallest doc_id at once. Links are decided on whole sets.
 
     Null text, empty text and text without words have the empty set: n_shingles 0, linked with nothing; component_id is
-    the row's own doc_id. A row with a null doc_id has null class and component. Rows that share a doc_id are one node. An
-    empty table gives no row; other columns are ignored."""
+    the row's own doc_id. A very long text is one set like any other and is held by one task at a time. A row with a null doc_id
+    has null class and component. Repeated rows are one class; rows that share a doc_id are one node, linked as any of its texts is.
+    Ties (equal similarity, equal frequency) change nothing: a link needs no choice, and groups are named after their smallest doc_id.
+    An empty table gives no row; other columns are ignored."""
     rule = Rule(num, den)
     kind = dict(docs.dtypes)["doc_id"]
     base = docs.select("doc_id", "text")
-    tables = docs.sparkSession.sparkContext.broadcast(_frequent(base, shingle, lower))
+    tables = docs.sparkSession.sparkContext.broadcast(_classes(base, shingle, lower))
 
-    def prefixes(batches):
+    def indexed(batches):
         import pyarrow as pa
 
-        twice, often = tables.value
         for batch in batches:
-            n, s1, s2, toks = [], [], [], []
+            n, s1, s2, keys = [], [], [], []
             for _, s in shingle_sets(batch.column("text"), shingle, lower):
                 n.append(len(s))
                 s1.append(mix(s).sum(dtype=np.uint64))
                 s2.append(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
-                if len(s):
-                    s = s[np.argsort(_has(twice, s) + _has(often, s), kind="stable")][: rule.prefix(len(s))]
-                toks.append(s.view(np.int64))
-            offs = np.concatenate(([0], np.cumsum([len(x) for x in toks]))).astype(np.int32)
-            flat = np.concatenate(toks) if toks else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], names=["doc_id", "n", "s1", "s2", "toks"])
-
-    sets = materialize(base.mapInArrow(prefixes, f"doc_id {kind}, n int, s1 long, s2 long, toks array<long>"), "sets")
-    classes = sets.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    classes = materialize(classes, "classes")
-    reps = sets.join(classes.select(F.col("rep").alias("doc_id"), "s1", "s2", "n"), ["doc_id", "s1", "s2", "n"]).dropDuplicates(["doc_id", "s1", "s2"])
-    index = reps.select("doc_id", "n", F.posexplode("toks").alias("p", "t"))
-    index = index.withColumn("cnt", F.count("*").over(Window.partitionBy("t"))).where("cnt > 1")
-    earliest = F.min(F.struct("p", "doc_id", "n")).over(Window.partitionBy("t"))
-    index = materialize(index.withColumn("x", earliest), "index")
-
-    star = index.select("t", F.struct("doc_id", "n", "p").alias("y"), "x").where(F.col("x.doc_id") != F.col("y.doc_id")).where(rule.may_link("x", "y"))
-    star = star.groupBy(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).agg(F.count("*").alias("c")).where(F.col("c") >= EXTEND).select("a", "b")
-    links = _verified(docs, star, rule, shingle, lower)
+                keys.append(index_keys(s, _class_of(tables.value, s), rule).view(np.int64))
+            offs = np.concatenate(([0], np.cumsum([len(x) for x in keys]))).astype(np.int32)
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], names=["doc_id", "n", "s1", "s2", "keys"])
+
+    sets = materialize(base.mapInArrow(indexed, f"doc_id {kind}, n int, s1 long, s2 long, keys array<long>"), "sets")
+    some = sets.where("n > 0 and doc_id is not null")
+    classes = materialize(some.groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "keys")).alias("x")).select("s1", "s2", "n", F.col("x.doc_id").alias("rep"), "x.keys"), "classes")
+    index = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("doc_id"), "n")
+    buckets = index.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "n")).alias("x")).where("m > 1")
+    index = materialize(index.join(buckets, "key"), "index")
+
+    weight = F.when(F.col("key").bitwiseAND(1) == 1, COMBINE).otherwise(1).alias("w")
+    few = index.where(F.col("m") <= RARE).groupBy("key").agg(F.collect_list(F.struct("doc_id", "n")).alias("d"))  # RARE documents at most
+    others = lambda x: F.filter("d", lambda y: (y["doc_id"] > x["doc_id"]) & rule.sizes(x["n"], y["n"]))
+    few = few.select(weight, F.explode(F.flatten(F.transform("d", lambda x: F.transform(others(x), lambda y: F.struct(x["doc_id"].alias("a"), y["doc_id"].alias("b")))))).alias("p")).select("p.a", "p.b", "w")
+    star = index.where((F.col("m") > RARE) & (F.col("x.doc_id") != F.col("doc_id")) & rule.sizes(F.col("x.n"), F.col("n"))).select(F.col("x.doc_id").alias("a"), F.col("doc_id").alias("b"), weight)
+    pairs = few.unionByName(star).groupBy("a", "b").agg(F.sum("w").alias("w")).where(F.col("w") >= COMBINE).select("a", "b")
+    links = _verified(docs, pairs, rule, shingle, lower)
     comps = components(links)
-    index = index.drop("x", "cnt").join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    open_ = materialize(_mixed_buckets(index), "open")
-
-    rare = _across(open_.where(F.col("cnt") <= RARE), rule, COMBINE)
-    more = _verified(docs, rare, rule, shingle, lower)
-    often = open_.where(F.col("cnt") > RARE).groupBy("doc_id").agg(F.count("*").alias("c")).where(F.col("c") >= COMBINE).select("doc_id")
-    combined = _combinations(docs, materialize(often, "often"), rule, shingle, lower)
-    met = combined.withColumn("a", F.min("doc_id").over(Window.partitionBy("t"))).where("a != doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    met = materialize(met, "met")
-    stars = met.select(F.col("a").alias("cluster"), F.col("b").alias("doc_id")).unionByName(met.select(F.col("a").alias("cluster"), F.col("a").alias("doc_id")).distinct())
+
+    many = index.where(F.col("m") > RARE).select("key", F.col("x.doc_id").alias("cluster"), "doc_id")
+    many = many.join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    still = many.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("key")
+    stars = materialize(many.join(still, "key", "left_semi").groupBy("cluster", "doc_id").agg(F.min("comp").alias("comp")), "stars")
     firsts = stars.groupBy("doc_id").agg(F.min("cluster").alias("first"))
-    stars = stars.join(firsts, "doc_id").join(comps.select(F.col("node").alias("doc_id"), "comp"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    open_star = (F.col("c1") != F.col("c2")) & ((F.col("f1") != F.col("f2")) | (F.col("f1") == F.col("cluster")))
-    sizes = stars.groupBy("cluster").agg(F.count("*").alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("first").alias("f1"), F.max("first").alias("f2")).where(open_star).select("cluster", "m")
-    stars = stars.select("cluster", "doc_id", "comp")
-    whole = components(met).select(F.col("comp").alias("family"), F.col("node").alias("doc_id"))
-    cost = F.sum(F.col("m") * F.ceil(F.col("m") / BLOCK))
-    by_star = sizes.join(whole.withColumnRenamed("doc_id", "cluster"), "cluster").groupBy("family").agg(cost.alias("by_star"))
-    families = whole.groupBy("family").agg(F.count("*").alias("m")).join(by_star, "family").withColumn("at_once", F.col("m") * F.ceil(F.col("m") / BLOCK) <= F.col("by_star"))
-    families = materialize(families, "families")
-    at_once = whole.join(families.where("at_once").select("family", "m"), "family").select(F.col("family").alias("cluster"), "doc_id", "m")
-    apart = whole.join(families.where("not at_once").select("family"), "family").select(F.col("doc_id").alias("cluster")).join(sizes, "cluster")
-    groups = at_once.unionByName(stars.join(apart, "cluster").select("cluster", "doc_id", "m"))
-    more = more.unionByName(materialize(_within(docs, groups, rule, shingle, lower), "links"))
-
-    twice = sets.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("doc_id")
-    same = sets.join(twice, "doc_id").join(classes, ["s1", "s2", "n"]).where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # a star whose documents all stand in one star of a smaller doc_id is compared there
+    open_ = (F.col("c1") != F.col("c2")) & ((F.col("f1") != F.col("f2")) | (F.col("f1") == F.col("cluster")))
+    sizes = stars.join(firsts, "doc_id").groupBy("cluster").agg(F.count("*").alias("m"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("first").alias("f1"), F.max("first").alias("f2")).where(open_).select("cluster", "m")
+    more = materialize(_within(docs, stars.join(sizes, "cluster").select("cluster", "doc_id", "m"), rule, shingle, lower), "links")
+
+    twice = some.groupBy("doc_id").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("doc_id")
+    same = some.join(twice, "doc_id").join(classes, ["s1", "s2", "n"]).where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     comps = components(links.unionByName(more).unionByName(same)).withColumnRenamed("node", "rep")
     named = classes.join(comps, "rep", "left").select("s1", "s2", "n", "rep", F.coalesce("comp", "rep").alias("comp"))
-    return sets.drop("toks").join(named, ["s1", "s2", "n"], "left").select(
+    return sets.drop("keys").join(named, ["s1", "s2", "n"], "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"), F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))
