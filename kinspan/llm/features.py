@@ -49,11 +49,12 @@ def language_features(col, dims: int):
 
 
 GRAMS, SHAPES, EXTRA = 1024, 1024, 8
+MOST_COUNT = 60000  # within a half float
 QUALITY_DIMS = GRAMS + SHAPES + EXTRA
 
 
 def quality_features(col):
-    """Per piece: (first row, counts). Byte trigrams, trigrams of character shapes, and how words and lines repeat."""
+    """Per piece: (first row, counts, whether a row has a word). Byte trigrams, trigrams of character shapes, and how words and lines repeat; as exact as half floats are."""
     buf, offs = text_buffer(col)
     for i, j in row_pieces(offs):
         o = offs[i : j + 1] - offs[i]
@@ -61,6 +62,7 @@ def quality_features(col):
         starts, ends, woff = words_of(b, o)
         rows, counts = len(o) - 1, np.diff(woff)
         extra = np.zeros((rows, EXTRA), np.float32)
+        extra[:, 7] = counts < 20
         if len(starts):
             h = span_hash(byte_prefix(b), starts, ends)
             row = np.repeat(np.arange(rows), counts)
@@ -76,5 +78,5 @@ def quality_features(col):
             alone = (ends - starts) == 1
             extra[:, 5] = np.bincount(row[alone], minlength=rows) / n
             extra[:, 6] = np.bincount(row, weights=(ends - starts), minlength=rows) / n / 20.0
-            extra[:, 7] = counts < 20
-        yield i, np.concatenate([gram_counts(_LOWER[b], o, 3, GRAMS, 3), gram_counts(_SHAPE[b], o, 3, SHAPES, 4), extra], axis=1)
+        x = np.concatenate([gram_counts(_LOWER[b], o, 3, GRAMS, 3), gram_counts(_SHAPE[b], o, 3, SHAPES, 4), extra], axis=1)
+        yield i, np.minimum(x, MOST_COUNT).astype(np.float16).astype(np.float32), counts > 0

@@ -43,8 +43,8 @@ class Model:
     def unit(z: np.ndarray) -> np.ndarray:
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
 
-    def score(self, x: np.ndarray, block: int = 256) -> np.ndarray:
-        """Exact cosines with all voters, block by block; the nearest ones' labels weighted by similarity."""
+    def score(self, x: np.ndarray, some: np.ndarray, block: int = 256) -> np.ndarray:
+        """Exact cosines with all voters, block by block; the nearest ones' labels weighted by similarity. Rows without words (not some) get the prior."""
         z = self.unit((self.weigh(x) - self.mean) @ self.axes)
         k, out = min(self.k, len(self.labels)), np.empty(len(z))
         for a in range(0, len(z), block):
@@ -52,7 +52,7 @@ class Model:
             at = np.argpartition(-sim, k - 1, axis=1)[:, :k]
             w = np.maximum(np.take_along_axis(sim, at, 1), 0) ** 4 + 1e-6
             out[a : a + block] = (w * self.labels[at]).sum(1) / w.sum(1)
-        out[x.sum(1) == 0] = self.prior
+        out[~some] = self.prior
         return np.clip(out, 0, 1)
 
 
@@ -64,7 +64,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     if len(n) < 2:
         return float(next(iter(n), 1))
     u = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 11).cast("double") / float(1 << 53)
-    picked = known.where(u < F.when(F.col("y") == 1, per_class / n[1]).otherwise(per_class / n[0])).limit(4 * per_class)
+    picked = known.where(u < F.when(F.col("y") == 1, per_class / n[1]).otherwise(per_class / n[0]))
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("y", "text")
 
     def features(batches):
@@ -72,8 +72,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
         for batch in batches:
             y = batch.column("y")
-            for i, x in quality_features(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([y.slice(i, len(x)), pa.array([r.tobytes() for r in np.minimum(x, 60000).astype(np.float16)], pa.binary())], names=["y", "x"])
+            for i, x, _ in quality_features(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([y.slice(i, len(x)), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], names=["y", "x"])
 
     got = rows.mapInArrow(features, "y int, x binary").collect()
     got.sort(key=lambda r: (r.y, bytes(r.x)))
@@ -85,8 +85,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 def score(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """doc_id, held_out, score (higher: label 1 likelier) and predicted (score >= keep) for every row of docs (doc_id, text), over its whole text.
 
-    A null or empty text gets the voters' mean label. Repeated rows count each; a null id is held out; an empty table
-    gives no row; other columns are ignored."""
+    A text without words (null, empty) gets the voters' mean label, whatever stands beside it. Very long texts are counted whole, in a
+    matrix row of fixed width. Equally near voters have equal weights, so ties among them change the score only where labels differ.
+    Repeated rows count each; a null id is held out; an empty table gives no row; other columns are ignored."""
     model = fit(docs, labels)
     rows = docs.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), "text")
     if isinstance(model, float):
@@ -98,15 +99,15 @@ def score(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
             import pyarrow as pa
 
             for batch in batches:
-                for i, x in quality_features(batch.column("text")):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(x)), batch.column(1).slice(i, len(x)), pa.array(shared.value.score(x))], names=["doc_id", "held_out", "score"])
+                for i, x, some in quality_features(batch.column("text")):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, len(x)), batch.column(1).slice(i, len(x)), pa.array(shared.value.score(x, some))], names=["doc_id", "held_out", "score"])
 
         scored = rows.mapInArrow(predict, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= F.lit(keep)).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
-    """The rows of docs, with all their columns, whose score is at least keep."""
+    """The rows of docs, with all their columns, whose score (see score()) is at least keep: texts without words by the voters' mean label, repeated rows each, of an empty table none."""
     model = fit(docs, labels)
     if isinstance(model, float):
         return docs.where(F.lit(model >= keep))
@@ -117,7 +118,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFra
 
         for batch in batches:
             if batch.num_rows:
-                got = [shared.value.score(x) for _, x in quality_features(batch.column("text"))]
+                got = [shared.value.score(x, some) for _, x, some in quality_features(batch.column("text"))]
                 yield batch.filter(pa.array(np.concatenate(got) >= keep))
 
     return docs.mapInArrow(chosen, docs.schema)
