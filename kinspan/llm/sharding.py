@@ -16,6 +16,7 @@ EXACT = 2048  # so few groups of a node's cut bin are ranked one by one
 FINE = 64  # a group of more than 1/FINE of a shard is placed before the tree is grown
 DIMS = ("d_size", "d_id", "d_source", "d_lang")
 SLOT_BUCKETS = 64
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def _prefit(groups: DataFrame, total: int, shards: int) -> tuple[list, list[float]]:
@@ -120,14 +121,16 @@ def kd_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
 
     A row weighs the UTF-8 bytes of its text plus 8; rows of equal text stay in one shard. Returns doc_id, size,
     text_crc32, law, shard, slot, grown_shard. Null text counts as empty text; null ids, languages and sources are
-    values of their own; repeated rows are rows; an empty table gives no row; extra columns are ignored. A group of
+    values of their own; ids that are no numbers are placed by their hash; repeated rows are rows; a very long text is one row
+    that weighs what it has; ties at a cut go by the group's hash; an empty table gives no row; extra columns are ignored. A group of
     copies heavier than a shard's share fills a shard alone and the others share the rest evenly."""
     have = set(docs.columns)
     col = lambda name: F.col(name) if name in have else F.lit(None)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = materialize(docs.select("doc_id", (F.octet_length(text) + F.lit(8)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+    place = F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0)) if dict(docs.dtypes)["doc_id"] in NUMBERS else F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).cast("double")
+    rows = materialize(docs.select("doc_id", place.alias("place"), (F.octet_length(text) + F.lit(8)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
                                    F.unhex(F.sha2(text.cast("binary"), 256)).alias("sha"), F.crc32(F.coalesce(col("source").cast("string"), F.lit("")).cast("binary")).alias("src"), F.crc32(F.coalesce(col("lang").cast("string"), F.lit("")).cast("binary")).alias("lng")), "shard-rows")
-    groups = materialize(rows.groupBy("sha").agg((F.count("*") * F.max("size")).alias("w"), F.log2(F.max("size").cast("double")).alias("d_size"), F.coalesce(F.min("doc_id"), F.lit(0)).cast("double").alias("d_id"),
+    groups = materialize(rows.groupBy("sha").agg((F.count("*") * F.max("size")).alias("w"), F.log2(F.max("size").cast("double")).alias("d_size"), F.min("place").alias("d_id"),
                                                  F.min("src").cast("double").alias("d_source"), F.min("lng").cast("double").alias("d_lang")).withColumn("gh", F.xxhash64("sha")), "shard-groups")
     top = groups.agg(F.sum("w").alias("w"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMS]).first()
     total = int(top.w or 0)
