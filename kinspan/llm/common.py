@@ -65,8 +65,13 @@ BROADCAST_ROWS = 200_000
 
 
 def small(df: DataFrame) -> DataFrame:
-    """df (of narrow rows), marked for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    """df (of narrow rows, already materialized), marked for broadcast if a count shows that it is small."""
+    return bounded(df, df.limit(BROADCAST_ROWS + 1).count())
+
+
+def bounded(df: DataFrame, rows: int) -> DataFrame:
+    """df (of narrow rows), which has at most this many, marked for broadcast if these are few."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

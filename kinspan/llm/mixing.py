@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinspan.llm.common import materialize, n_words
+from kinspan.llm.common import bounded, materialize, n_words, small
 
-BINS = 4096
+BINS = 1 << 16  # of the rank keys of a source
 MOST = 3  # times that a document, and so a source, may be taken
+#: Columns of our own beside the callers' ones.
+SIZE, HASH, COPIES, PLAN = "__kinspan_size", "__kinspan_hash", "__kinspan_copies", "__kinspan_plan_"
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (1, 2, 3), most: int = MOST) -> dict[str | None, float]:
@@ -29,65 +31,96 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = (1
         capped |= over
 
 
-def pareto_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 17) -> DataFrame:
-    """Decides how often each row of docs (doc_id, text, source) is taken so that each source comes near its target.
-
-    Every row gets the whole copies floor(target / source size) for certain. The fraction left is its inclusion
-    probability p for one copy more: rows are ranked by the odds of a number that follows from seed, doc_id and text,
-    over the odds of p, and taken in that order up to the words the source still needs; the gap at the end is closed by the one
-    unused row whose size is nearest to it. Returns doc_id, size, source_size, target, taken, copies, row_hash, source.
-    Null text and text without words have size 0 and are taken in whole copies of 0 words; null source is a source;
-    repeated rows count each; an empty table gives no row; extra columns are ignored. Only one row for each source
-    goes to the driver."""
+def _sized(docs: DataFrame, seed: int) -> DataFrame:
+    """docs with the columns that a row's copies follow from, under names that docs does not have."""
+    return docs.withColumns({SIZE: n_words(F.col("text")), HASH: F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))})
+
+
+def _drawn(lam: Column) -> tuple[Column, Column]:
+    """(inclusion probability, rank key) of a row with SIZE and HASH, for its source's factor.
+
+    The probability grows with the square root of the size's power of two, so that short documents are left to close a gap with. The rank key is the odds of a number in (0, 1) that follows from HASH over the odds of the probability."""
+    p = F.when(F.col(SIZE) > 0, F.least(F.lit(1.0), lam * F.pow(F.lit(2.0), F.length(F.bin(SIZE)) / 2)))
+    u = (F.shiftrightunsigned(F.xxhash64(HASH), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    return p, F.when((p > 0) & (p < 1), (u / (1 - u)) / (p / (1 - p)))
+
+
+def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 17) -> DataFrame:
+    """What decides on the rows of each source: (source_key, source_size, target, whole, lam, cut, last, drop), a row for each source.
+
+    Every row gets `whole` copies, floor(target / source size). For the words still needed, rows have inclusion probabilities that
+    lam makes sum up to them; rows whose probability reaches 1 are certain. The others are ranked by the Pareto key and taken up to `cut`,
+    the words still needed; the gap at the end is closed by one row more (`last`), or by one in place of another (`drop`), whichever comes
+    nearest. Rows that repeat both id and text share a key and are taken together. Sources, as they have to be put in order, are a row each on the driver."""
     spark = docs.sparkSession
-    rows = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("row_hash")), "mix-rows")
-    sizes = [(r.source, int(r.n)) for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()]
+    units = _sized(docs.select("doc_id", "text", "source"), seed).groupBy("source", SIZE, HASH).agg(F.count("*").alias("c")).withColumn("words", F.col("c") * F.col(SIZE))
+    units = materialize(units, "mix-units")
+    sizes = [(r.source, int(r.n)) for r in units.groupBy("source").agg(F.sum("words").alias("n")).collect()]
     goal = targets(sizes, weights, most)
     plan = []
     for s, n in sizes:
-        m = goal[s] / n if n else 0.0
-        whole = min(most, int(m + 1e-12))
-        plan.append((s, n, goal[s], whole, m - whole if whole < most else 0.0, max(0.0, goal[s] - whole * n)))
-    plan_df = spark.createDataFrame(plan, "__source string, source_size long, target double, whole int, p double, need double")
-    plan_df = plan_df.withColumn("source_no", F.xxhash64("__source"))
-    keyed = rows.join(F.broadcast(plan_df), rows.source.eqNullSafe(plan_df["__source"]))
-    # the uniform number is in the open interval (0, 1); the rank key x = odds(u) / odds(p) is binned by x / (1 + x)
-    u = (F.shiftrightunsigned(F.xxhash64("row_hash"), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
-    keyed = keyed.withColumn("x", F.when((F.col("p") > 0) & (F.col("size") > 0), (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))))
-    keyed = keyed.withColumn("bin", F.when(F.col("x").isNotNull(), F.least(F.lit(BINS - 1), F.floor(F.col("x") / (1 + F.col("x")) * BINS)).cast("int")))
-    by = Window.partitionBy("source_no").orderBy("bin")
-    hist = keyed.where(F.col("x").isNotNull()).groupBy("source_no", "bin").agg(F.sum("size").alias("words"), F.max("need").alias("need"))
-    hist = hist.withColumn("upto", F.sum("words").over(by))
-    cuts = hist.where((F.col("upto") > F.col("need")) & (F.col("upto") - F.col("words") <= F.col("need"))).groupBy("source_no").agg(F.min("bin").alias("cut"), F.min(F.col("upto") - F.col("words")).alias("before"))
-    keyed = materialize(keyed.join(cuts, "source_no", "left"), "mix-keyed")
-    order = Window.partitionBy("source_no").orderBy("x", "row_hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    edge = keyed.where(F.col("bin") == F.col("cut")).withColumn("upto", F.col("before") + F.sum("size").over(order))
-    rest = keyed.where(F.col("bin").isNull() | F.col("cut").isNull() | (F.col("bin") != F.col("cut"))).withColumn("upto", F.lit(None).cast("long"))
-    rest = rest.withColumn("extra", F.when(F.col("bin").isNull(), False).otherwise(F.col("cut").isNull() | (F.col("bin") < F.col("cut"))))
-    ranked = materialize(rest.unionByName(edge.withColumn("extra", F.col("upto") <= F.col("need"))), "mix-ranked")
-    got = ranked.groupBy("source_no").agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("got"), F.max("need").alias("need"))
-    gap = got.select("source_no", (F.col("need") - F.col("got")).alias("gap"))
-    near = ranked.where(~F.col("extra") & F.col("x").isNotNull()).join(F.broadcast(gap), "source_no").where(F.abs(F.col("gap") - F.col("size")) < F.col("gap"))
-    last = near.groupBy("source_no").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), F.col("row_hash"), F.col("doc_id"))).alias("s")).select("source_no", F.col("s.row_hash").alias("last_hash"))
-    out = ranked.join(F.broadcast(last), "source_no", "left")
-    # repeated rows share a hash: of those only one, whichever the task meets, closes the gap
-    twin = F.row_number().over(Window.partitionBy("source_no", "row_hash").orderBy("extra"))
-    filler = out.where(F.col("row_hash") == F.col("last_hash")).withColumn("extra", F.col("extra") | (twin == 1))
-    out = out.where(F.col("last_hash").isNull() | (F.col("row_hash") != F.col("last_hash"))).unionByName(filler)
-    out = out.withColumn("copies", F.col("whole") + F.col("extra").cast("int"))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", "row_hash", "source")
-
-
-def take(docs: DataFrame, mixed: DataFrame, seed: int = 17) -> DataFrame:
-    """The rows of docs, each as often as pareto_mix decided; equal rows of one id and text share what they are given."""
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    n = mixed.groupBy(F.col("row_hash").alias("__h"), F.col("source").alias("__s"), F.col("doc_id").alias("__d")).agg(F.sum("copies").alias("__c"), F.count("*").alias("__n"))
-    cols = docs.columns
-    d = docs.withColumn("__k", key)
-    d = d.join(n, (d["__k"] == n["__h"]) & d["source"].eqNullSafe(n["__s"]) & d["doc_id"].eqNullSafe(n["__d"]))
-    one = d.where(F.col("__n") == 1)
-    same = Window.partitionBy("__k", "__s", "__d").orderBy(F.lit(0))
-    many = d.where(F.col("__n") > 1).withColumn("__r", F.row_number().over(same))
-    many = many.withColumn("__c", F.floor(F.col("__c") / F.col("__n")) + (F.col("__r") <= F.col("__c") % F.col("__n")).cast("int")).drop("__r")
-    both = one.unionByName(many).where(F.col("__c") > 0)
-    return both.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__c").cast("int")))).select(*cols)
+        whole = min(most, int(goal[s] / n + 1e-12)) if n else 0
+        plan.append((s, n, goal[s], whole, max(0.0, goal[s] - whole * n) if whole < most else 0.0))
+    plan_df = bounded(spark.createDataFrame(plan, "source_key string, source_size long, target double, whole int, need double"), len(plan))
+    keyed = lambda rows, by: rows.join(bounded(by, len(plan)), rows["source"].eqNullSafe(by["source_key"]))
+    # lam: classes of size in the order of their probabilities; those before the first that stays below 1 are certain
+    classes = units.where(F.col(SIZE) > 0).groupBy("source", F.length(F.bin(SIZE)).alias("b")).agg(F.sum("words").alias("words")).withColumn("weighed", F.col("words") * F.pow(F.lit(2.0), F.col("b") / 2))
+    upto, rest = Window.partitionBy("source").orderBy(F.desc("b")), Window.partitionBy("source").orderBy("b")
+    classes = keyed(classes.withColumn("before", F.sum("words").over(upto) - F.col("words")).withColumn("after", F.sum("weighed").over(rest)), plan_df)
+    classes = classes.withColumn("lam", F.greatest(F.lit(0.0), F.col("need") - F.col("before")) / F.col("after")).where(F.col("lam") * F.pow(F.lit(2.0), F.col("b") / 2) < 1)
+    lam = classes.groupBy("source_key").agg(F.max_by("lam", "b").alias("lam"))
+    no = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    both = plan_df.alias("p").join(lam.alias("l"), F.col("p.source_key").eqNullSafe(F.col("l.source_key")), "left")
+    plan_df = materialize(both.select("p.*", F.when(F.col("need") > 0, no("lam")).otherwise(0.0).alias("lam")), "mix-plan")
+    p, x = _drawn(F.col("lam"))
+    drawn = keyed(units, plan_df).withColumn("p", p).withColumn("x", x).where("p > 0")
+    drawn = materialize(drawn.select("source_key", "need", "words", HASH, "p", "x", F.when(F.col("x").isNotNull(), F.least(F.lit(BINS - 1), F.floor(F.col("x") / (1 + F.col("x")) * BINS))).cast("int").alias("bin")), "mix-drawn")
+    hist = drawn.groupBy("source_key", "bin").agg(F.sum("words").alias("words"), F.max("need").alias("need"))  # certain rows have no bin and come first
+    hist = hist.withColumn("upto", F.sum("words").over(Window.partitionBy("source_key").orderBy(F.asc_nulls_first("bin"))))
+    edge = hist.where("bin is not null and upto > need and upto - words <= need").select(F.col("source_key").alias("k"), F.col("bin").alias("b"), (F.col("upto") - F.col("words")).alias("before"))
+    near = drawn.join(bounded(edge, len(plan)), F.col("source_key").eqNullSafe(F.col("k")) & (F.col("bin") == F.col("b")))
+    near = near.withColumn("upto", F.col("before") + F.sum("words").over(Window.partitionBy("source_key").orderBy("x")))  # ties are taken together
+    top = near.groupBy("source_key", "b").agg(F.max(F.when(F.col("upto") <= F.col("need"), F.col("x"))).alias("x"))
+    # no row of the edge's bin fits: the cut is where that bin begins; no edge: all rows are taken
+    cuts = top.select(F.col("source_key").alias("k"), F.coalesce("x", F.col("b") / F.lit(float(BINS)) / (1 - F.col("b") / F.lit(float(BINS))) - F.lit(1e-12)).alias("cut"))
+    cuts = materialize(cuts, "mix-cuts")
+    tried = drawn.join(bounded(cuts, len(plan)), F.col("source_key").eqNullSafe(F.col("k")), "left").withColumn("in", F.col("x").isNull() | F.col("cut").isNull() | (F.col("x") <= F.col("cut")))
+    gap = tried.groupBy("source_key").agg((F.max("need") - F.sum(F.when(F.col("in"), F.col("words")).otherwise(0))).alias("gap"))
+    # one row for each size in and out of the sample; a size of 0 stands for no row at all
+    out_, in_ = (tried.where(c).groupBy("source_key", "words").agg(F.min(HASH).alias("h")).unionByName(gap.select("source_key", F.lit(0).cast("long").alias("words"), F.lit(None).cast("long").alias("h"))).withColumn("in", F.lit(v)) for v, c in ((False, ~F.col("in")), (True, F.col("in") & F.col("x").isNotNull())))
+    both = out_.unionByName(in_).join(bounded(gap.withColumnRenamed("source_key", "g"), len(plan)), F.col("source_key").eqNullSafe(F.col("g")))
+    both = both.withColumn("at", F.when(F.col("in"), F.col("words")).otherwise(F.col("words") - F.col("gap")))
+    row = F.when(F.col("in"), F.struct("words", "h"))
+    w = Window.partitionBy("source_key").orderBy("at", "in")
+    both = both.withColumn("lo", F.last(row, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("hi", F.first(row, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    swap = lambda c: F.struct(F.round(F.abs(F.col("at") - F.col(f"{c}.words")), 6).alias("off"), F.col(f"{c}.words").alias("less"), F.col("h").alias("last"), F.col(f"{c}.h").alias("drop"))
+    best = both.where(~F.col("in")).groupBy(F.col("source_key").alias("s")).agg(F.min(F.least(*[F.when(F.col(c).isNotNull(), swap(c)) for c in ("lo", "hi")])).alias("best"))
+    out = plan_df.join(cuts, F.col("source_key").eqNullSafe(F.col("k")), "left").join(best, F.col("source_key").eqNullSafe(F.col("s")), "left")
+    return materialize(out.select("source_key", "source_size", "target", "whole", "lam", "cut", "best.last", "best.drop"), "mix-decided")
+
+
+def _copies(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """docs with SIZE, HASH and COPIES, and the plan's columns, in the docs' own partitions: the plan has a row for each source."""
+    plan = plan.withColumnsRenamed({c: f"{PLAN}{c}" for c in plan.columns})
+    of = lambda c: F.col(f"{PLAN}{c}")
+    p, x = _drawn(of("lam"))
+    taken = (p >= 1) | ((p > 0) & (of("cut").isNull() | (x <= of("cut")))) | (F.col(HASH) == of("last"))
+    taken = F.coalesce(taken, F.lit(False)) & ~F.coalesce(F.col(HASH) == of("drop"), F.lit(False))
+    rows = _sized(docs, seed).join(small(plan), F.col("source").eqNullSafe(of("source_key")))
+    return rows.withColumn(COPIES, of("whole") + taken.cast("int"))
+
+
+def pareto_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 17) -> DataFrame:
+    """Decides how often each row of docs (doc_id, text, source) is taken so that each source comes near its target; see mix_plan().
+
+    Returns doc_id, size, source_size, target, taken, copies, row_hash, source. Null text and text without words have size 0 and
+    are taken in whole copies of 0 words; null source is a source, and so is a null id an id; a very long text counts with all its words;
+    repeated rows count each and are taken alike; equal rank keys are taken together; an empty table gives no row; extra columns are ignored."""
+    rows = _copies(docs.select("doc_id", "text", "source"), mix_plan(docs, weights, most, seed), seed)
+    return rows.select("doc_id", F.col(SIZE).alias("size"), F.col(f"{PLAN}source_size").alias("source_size"), F.col(f"{PLAN}target").alias("target"), (F.col(COPIES) * F.col(SIZE)).cast("long").alias("taken"), F.col(COPIES).alias("copies"), F.col(HASH).alias("row_hash"), "source")
+
+
+def take(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 17) -> DataFrame:
+    """The rows of docs, with all their columns, each as often as pareto_mix decides, which says how odd rows are treated. No text is shuffled."""
+    rows = _copies(docs, mix_plan(docs, weights, most, seed), seed).where(F.col(COPIES) > 0)
+    return rows.withColumn(COPIES, F.explode(F.sequence(F.lit(1), F.col(COPIES)))).select(*[f"`{c}`" for c in docs.columns])
