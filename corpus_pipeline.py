@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from kinspan.llm.common import materialize, scratch_path, small, table
 from kinspan.llm.decontamination import drop_contaminated
-from kinspan.llm.mixing import pareto_mix, take
+from kinspan.llm.mixing import take
 from kinspan.llm.ngram_join import ngram_groups
 from kinspan.llm.quality_classifier import keep_good
 from kinspan.llm.sharding import kd_shards
@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that sources come near their target weights 1, 2, 3, repeating."""
-    return take(docs, pareto_mix(docs))
+    return take(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
