@@ -10,6 +10,7 @@ from kinspan.llm.features import language_features
 
 DIMS = 2048
 PER_LANG = 1000  # rows a language that a model is fitted on
+FIT_ROWS = 32_000  # rows of all languages that it is fitted on, about; with more languages each has fewer, but 16
 
 
 def remainder(doc_id: Column) -> Column:
@@ -62,12 +63,13 @@ def fit_bits(x: np.ndarray, y: np.ndarray, rounds: int = 150, l2: float = 1e-5)
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG, dims: int = DIMS) -> Model | None:
-    """Fits on at most about per_lang rows for each language, chosen by a hash of the id, of the rows whose remainder is not 0."""
+    """Fits on at most about per_lang rows for each language (of many languages about FIT_ROWS in all), chosen by a hash of the id, of the rows whose remainder is not 0."""
     learn = docs.where((remainder(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
     if not counts:
         return None
     langs = sorted(r.lang for r in counts)
+    per_lang = min(per_lang, max(16, FIT_ROWS // len(langs)))
     share = docs.sparkSession.createDataFrame([(r.lang, min(1.0, per_lang / r.n)) for r in counts], "lang string, share double")
     u = F.shiftrightunsigned(F.xxhash64(F.lit(5), "doc_id"), 11).cast("double") / float(1 << 53)
     picked = learn.join(F.broadcast(share), "lang").where(u < F.col("share")).select("lang", "text")
@@ -80,7 +82,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, dims: int = DIMS) -> Model |
             for i, x in language_features(batch.column("text"), dims):
                 yield pa.RecordBatch.from_arrays([lang.slice(i, len(x)), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], names=["lang", "x"])
 
-    rows = picked.mapInArrow(features, "lang string, x binary").limit(2 * per_lang * len(langs)).collect()
+    rows = picked.mapInArrow(features, "lang string, x binary").collect()
     rows.sort(key=lambda r: (r.lang, bytes(r.x)))
     x = np.stack([np.frombuffer(r.x, np.float16) for r in rows]).astype(np.float32)
     cls = np.array([langs.index(r.lang) for r in rows])
@@ -98,8 +100,9 @@ def identify(docs: DataFrame, ambiguous_below: float = 0.2) -> DataFrame:
 
     Binary n-gram classifiers give a value for each bit of the languages' codewords; the codeword with the least
     trust-weighted loss wins; score is its share of exp(-loss); ambiguous marks a small lead over the second.
-    A null text or one without a letter is `und` with score 0; where there is nothing to learn from, all are. Repeated
-    rows count each; null ids are held out; extra columns are ignored."""
+    A null text or one without a letter is `und` with score 0; where there is nothing to learn from, all are. A very long text is
+    counted whole, in a matrix row of fixed width. Of equally near codewords the first language by name wins, marked ambiguous. Repeated
+    rows count each; null ids are held out; an empty table gives no row; extra columns are ignored."""
     base = docs.select("doc_id", "text", "lang")
     model = fit(base)
     rows = base.select("doc_id", (remainder(F.col("doc_id")) == 0).alias("held_out"), F.when(F.col("text").rlike(r"\p{L}"), F.col("text")).alias("text"))
