@@ -12,7 +12,7 @@ from kinspan.llm.native import let, runs, words
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # of 100 words
-LEAST_ROWS = 100  # of a sketch that a group's thresholds are taken from; smaller groups use the merged sketch above
+PRIOR_ROWS = 10  # rows that the quartiles of the merged sketch above weigh for, beside a group's own rows
 
 #: Name, value (an integer) and the least spread that a fence allows for.
 METRICS = {
@@ -61,8 +61,9 @@ def edge_of(b: Column) -> Column:
 def thresholds(values: DataFrame) -> DataFrame:
     """(lang, source, metric, lo, hi) from values (lang, source, metric, v): fences around the quartiles of the group's sketch.
 
-    A sketch is the counts of its bins, so sketches merge by adding: per language and source, per language, over all. The
-    first of these with LEAST_ROWS rows gives a group its quartiles q1 and q3; the fences lie three times their distance
+    A sketch is the counts of its bins, so sketches merge by adding: per language and source, per language, over all. A
+    language's quartiles q1 and q3 are its sketch's own, weighed by its rows, and those over all, weighed as PRIOR_ROWS rows; a group's are its own and
+    its language's in the same way: the fewer rows, the nearer to the wider sketch. The fences lie three times their distance
     (the metric's least spread, if that is more) outside of them."""
     spread = F.when(F.lit(False), 0)
     for name, (_, least) in METRICS.items():
@@ -76,14 +77,14 @@ def thresholds(values: DataFrame) -> DataFrame:
     cum = sketch.withColumn("upto", upto).withColumn("n", F.sum("c").over(group))
     at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("n") * q, F.col("b")))
     q = cum.groupBy("level", "lang", "source", "metric").agg(F.max("n").alias("n"), edge_of(at(1)).alias("q1"), edge_of(at(3)).alias("q3"))
-    far = 3 * F.greatest(F.col("q3") - F.col("q1"), spread)
-    q = q.select("level", "lang", "source", "metric", "n", (F.col("q1") - far).alias("lo"), (F.col("q3") + far).alias("hi"))
     groups = fine.select("lang", "source", "metric").distinct()
-    l0, l1, l2 = (q.where(F.col("level") == i).select(*[F.col(c).alias(f"{c}{i}") for c in ("lang", "source", "metric", "n", "lo", "hi")]) for i in range(3))
+    l0, l1, l2 = (q.where(F.col("level") == i).select(*[F.col(c).alias(f"{c}{i}") for c in ("lang", "source", "metric", "n", "q1", "q3")]) for i in range(3))
     same = lambda c, i: F.col(c).eqNullSafe(F.col(f"{c}{i}"))
     out = groups.join(l0, same("lang", 0) & same("source", 0) & (F.col("metric") == F.col("metric0"))).join(l1, same("lang", 1) & (F.col("metric") == F.col("metric1"))).join(l2, F.col("metric") == F.col("metric2"))
-    pick = lambda c: F.when(F.col("n0") >= LEAST_ROWS, F.col(f"{c}0")).when(F.col("n1") >= LEAST_ROWS, F.col(f"{c}1")).otherwise(F.col(f"{c}2"))
-    return out.select("lang", "source", "metric", pick("lo").alias("lo"), pick("hi").alias("hi"))
+    for level in (1, 0):
+        out = out.withColumns({f"{q}{level}": F.expr(f"(n{level} * {q}{level} + {PRIOR_ROWS} * {q}{level + 1}) div (n{level} + {PRIOR_ROWS})") for q in ("q1", "q3")})
+    far = 3 * F.greatest(F.col("q30") - F.col("q10"), spread)
+    return out.select("lang", "source", "metric", (F.col("q10") - far).alias("lo"), (F.col("q30") + far).alias("hi"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -92,7 +93,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept. Thresholds come from the
     rows that pass the base rules: symbols, repeated lines and repeated words in proportion must not lie above the upper
     fence, the mean length of words within both. Null and empty texts have no words and fail; null languages and sources are
-    groups of their own; repeated rows count each; an empty table gives no row; other columns are ignored."""
+    groups of their own; repeated rows count each; a very long text is one row like any other, held by one task; a value that lies on a fence passes; an
+    empty table gives no row; other columns are ignored."""
     rows = text_counts(docs)
     rows = rows.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED))
     rows = materialize(rows, "counts")
