@@ -69,6 +69,15 @@ def small(df: DataFrame) -> DataFrame:
     return bounded(df, df.limit(BROADCAST_ROWS + 1).count())
 
 
+#: Bytes of a table of wide rows up to which it is broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def light(df: DataFrame, size: Column) -> DataFrame:
+    """df (already materialized), marked for broadcast if the sum of its rows' sizes shows that it is small."""
+    return F.broadcast(df) if (df.agg(F.sum(size).alias("n")).first().n or 0) <= BROADCAST_BYTES else df
+
+
 def bounded(df: DataFrame, rows: int) -> DataFrame:
     """df (of narrow rows), which has at most this many, marked for broadcast if these are few."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -25,11 +25,3 @@ def runs(ws: Column, k: int, of: Callable[[list[Column]], Column]) -> Column:
     at = F.when(n >= k, F.sequence(F.lit(0), n - F.lit(k))).otherwise(F.array().cast("array<int>"))
     return F.transform(at, lambda i: of([F.get(ws, i + F.lit(j)) if j else F.get(ws, i) for j in range(k)]))
 
-
-def shingle_hashes(text: Column, k: int) -> Column:
-    return let(words(text), lambda ws: runs(ws, k, lambda x: F.xxhash64(*x)))
-
-
-def shingle_strings(text: Column, k: int) -> Column:
-    """The shingles' words joined by a space each: words hold no space, so these are equal only for equal words."""
-    return let(words(text), lambda ws: F.array_distinct(runs(ws, k, lambda x: F.concat_ws(" ", *x))))

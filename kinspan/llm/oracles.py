@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from kinspan.llm.quality_rules import LEAST_ROWS, LEAST_WORDS, METRICS, MOST_REPEATED, WINDOW
+#: Of the quality rules, stated anew: words of a window, least words, most repeated words of 100, rows that a wider sketch weighs for.
+WINDOW, LEAST_WORDS, MOST_REPEATED, PRIOR_ROWS = 8, 20, 30, 10
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -24,12 +25,11 @@ rest AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FRO
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN rest USING (doc_id)"""
 
 
-def _shingles(table: str, key: str, k: int) -> str:
-    return f"SELECT DISTINCT {key}, array_to_string(ws[i:i + {k - 1}], ' ') AS s FROM (SELECT {key}, {_WORDS} AS ws FROM {table}), UNNEST(range(1, len(ws) - {k - 2})) AS u(i)"
-
-
+#: An item of fewer than five words is one shingle, the whole sequence.
 DECONTAMINATION = f"""
-WITH items AS ({_shingles("benchmark", "item_id", 5)}), docs AS ({_shingles("documents", "doc_id", 5)}),
+WITH iw AS (SELECT item_id, {_WORDS} AS ws FROM benchmark), dw AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+items AS (SELECT DISTINCT item_id, least(len(ws), 5) AS k, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS s FROM iw, UNNEST(range(1, greatest(len(ws) - 4, 1) + 1)) AS u(i) WHERE len(ws) > 0),
+docs AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, ws, k.k FROM dw, (SELECT DISTINCT k FROM items) k), UNNEST(range(1, len(ws) - k + 2)) AS u(i)),
 size AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY 1),
 met AS (SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (s) GROUP BY 1, 2)
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared::DOUBLE / n_shingles AS containment FROM met JOIN size USING (item_id) WHERE 100 * n_shared >= 80 * n_shingles"""
@@ -55,10 +55,10 @@ lv AS (SELECT 0 AS level, lang, source, metric, b, n FROM g UNION ALL SELECT 1,
 cum AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY b) AS upto, sum(n) OVER (PARTITION BY level, lang, source, metric) AS total FROM lv),
 qb AS (SELECT level, lang, source, metric, max(total) AS total, min(b) FILTER (upto * 4 >= total) AS b1, min(b) FILTER (upto * 4 >= total * 3) AS b3 FROM cum GROUP BY 1, 2, 3, 4),
 q AS (SELECT level, lang, source, metric, total, {_EDGE.format("b1")} AS q1, {_EDGE.format("b3")} AS q3 FROM qb),
-f AS (SELECT *, q1 - 3 * greatest(q3 - q1, CASE metric {" ".join(f"WHEN '{m}' THEN {s}" for m, (_, s) in METRICS.items())} END) AS lo, q3 + 3 * greatest(q3 - q1, CASE metric {" ".join(f"WHEN '{m}' THEN {s}" for m, (_, s) in METRICS.items())} END) AS hi FROM q),
-bad AS (
- SELECT DISTINCT doc_id FROM v JOIN f a ON a.level = 0 AND a.lang = v.lang AND a.source = v.source AND a.metric = v.metric JOIN f b ON b.level = 1 AND b.lang = v.lang AND b.metric = v.metric JOIN f c ON c.level = 2 AND c.metric = v.metric
- WHERE v.v > CASE WHEN a.total >= {LEAST_ROWS} THEN a.hi WHEN b.total >= {LEAST_ROWS} THEN b.hi ELSE c.hi END OR (v.metric = 'word_chars' AND v.v < CASE WHEN a.total >= {LEAST_ROWS} THEN a.lo WHEN b.total >= {LEAST_ROWS} THEN b.lo ELSE c.lo END))
+l AS (SELECT a.lang, a.metric, (a.total * a.q1 + {PRIOR_ROWS} * c.q1) // (a.total + {PRIOR_ROWS}) AS q1, (a.total * a.q3 + {PRIOR_ROWS} * c.q3) // (a.total + {PRIOR_ROWS}) AS q3 FROM q a JOIN q c ON a.level = 1 AND c.level = 2 AND c.metric = a.metric),
+gq AS (SELECT a.lang, a.source, a.metric, (a.total * a.q1 + {PRIOR_ROWS} * l.q1) // (a.total + {PRIOR_ROWS}) AS q1, (a.total * a.q3 + {PRIOR_ROWS} * l.q3) // (a.total + {PRIOR_ROWS}) AS q3 FROM q a JOIN l ON a.level = 0 AND l.lang = a.lang AND l.metric = a.metric),
+f AS (SELECT lang, source, metric, q1 - 3 * greatest(q3 - q1, spread) AS lo, q3 + 3 * greatest(q3 - q1, spread) AS hi FROM (SELECT *, CASE metric WHEN 'symbols' THEN 50 WHEN 'dup_lines' THEN 250 WHEN 'repeats' THEN 100 ELSE 15 END AS spread FROM gq)),
+bad AS (SELECT DISTINCT doc_id FROM v JOIN f USING (lang, source, metric) WHERE v.v > f.hi OR (metric = 'word_chars' AND v.v < f.lo))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM r"""
 
 NGRAM = f"""
