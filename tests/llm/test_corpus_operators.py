@@ -67,6 +67,36 @@ def test_warc_files_follow_from_the_rows_alone(spark, tmp_path):
         list(warc.parse(io.BytesIO(data[:-20])))
 
 
+def test_a_far_id_does_not_join_all_others_in_a_shard(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", f"page {i} " * 200) for i in range(300)]
+    schema = "page_id long, url string, html string"
+    near = warc.write_warc(spark.createDataFrame(rows, schema), f"file://{tmp_path}/a", shard_bytes=40_000).count()
+    far = spark.createDataFrame([*rows, (2**60, "http://far/", "far"), (-(2**60), "http://near/", "near")], schema)
+    manifest = warc.write_warc(far, f"file://{tmp_path}/b", shard_bytes=40_000)
+    assert near > 8 and abs(manifest.count() - near) <= 3 and manifest.agg(F.max("records")).first()[0] < 60
+    assert warc.read_warc(manifest, f"file://{tmp_path}/b").count() == 302
+
+
+def test_a_killed_attempt_leaves_nothing(spark, tmp_path):
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / ".tmp-0-part-00000-00000.warc.gz").write_bytes(b"half")
+    (tmp_path / "w" / "part-00000-00000.warc.gz").write_bytes(b"of an attempt that was renamed and then lost")
+    path = f"file://{tmp_path}/w"
+    manifest = warc.write_warc(pages(spark), path)
+    assert not list((tmp_path / "w").glob(".tmp-*")) and Counter(tuple(r)[:5] for r in warc.read_warc(manifest, path).collect()) == expected(pages(spark).collect())
+
+
+def test_revisits_name_a_record(spark, tmp_path):
+    manifest = warc.write_warc(pages(spark), f"file://{tmp_path}/r")
+    ids, named = [], set()
+    for r in manifest.collect():
+        for h, _ in warc.parse(io.BytesIO((tmp_path / "r" / r.file).read_bytes())):
+            if h["WARC-Type"] != "warcinfo":
+                ids.append(h["WARC-Record-ID"])
+                named |= {h["WARC-Refers-To"]} if h["WARC-Type"] == "revisit" else set()
+    assert len(ids) == len(set(ids)) and named and named <= set(ids)
+
+
 def test_targets():
     got = targets([("b", 100), ("a", 100), (None, 100), ("c", 1)])
     assert got["c"] == 3 and sum(got.values()) == pytest.approx(301)
