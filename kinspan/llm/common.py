@@ -19,14 +19,16 @@ _scratch: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (only where unset) a folder of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where it is unset and the session runs on one machine, a folder of our own."""
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get()
     if configured := spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(configured)
-    else:
+    elif spark.sparkContext.master.startswith("local["):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="kinspan-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
