@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kinspan.functions import normalize as N
-from kinspan.functions.similarity import fuzzy
+from kinspan.functions.similarity import ratio, token_set_ratio, token_sort_ratio, weighted_ratio
 from kinspan.operators.blocking import prepare
 from kinspan.operators.lineage import cut
 from kinspan.schema import NAME_NGRAM, PAIR
@@ -69,9 +71,19 @@ def direct_features(wide: DataFrame) -> DataFrame:
     })
 
 
-def fuzzy_features(wide: DataFrame) -> DataFrame:
-    x = wide.withColumn("fuzzy", fuzzy("name_norm_l", "name_norm_r", "addr_norm_l", "addr_norm_r"))
-    return x.select("*", "fuzzy.*").drop("fuzzy")
+FUZZY = {
+    "name_levenshtein": lambda: ratio(F.col("name_norm_l"), F.col("name_norm_r")),
+    "name_jaro_winkler": lambda: weighted_ratio(F.col("name_norm_l"), F.col("name_norm_r"), F.col("name_tokens_l"), F.col("name_tokens_r")),
+    "name_token_sort": lambda: token_sort_ratio(F.col("name_tokens_l"), F.col("name_tokens_r")),
+    "name_token_set": lambda: token_set_ratio(F.col("name_tokens_l"), F.col("name_tokens_r")),
+    "addr_levenshtein": lambda: ratio(F.col("addr_norm_l"), F.col("addr_norm_r")),
+    "addr_token_sort": lambda: token_sort_ratio(F.col("addr_tokens_l"), F.col("addr_tokens_r")),
+}
+
+
+def fuzzy_features(wide: DataFrame, names: tuple[str, ...] = tuple(FUZZY)) -> DataFrame:
+    """wide with the asked similarities: strings cross to Python once, in Arrow batches, and only those that these need."""
+    return wide.withColumns({n: FUZZY[n]() for n in names})
 
 
 def token_rarity(wide: DataFrame, field: str) -> DataFrame:
@@ -88,42 +100,104 @@ def shared_rare_token(wide: DataFrame, field: str) -> DataFrame:
     return shared.join(token_rarity(wide, field), ["source", "token"]).groupBy(*PAIR, "source").agg(F.max("weight").alias(f"{field}_shared_rare_token"))
 
 
-def word_grams(text: Column) -> Column:
-    """Grams of 3 and 4 characters of each word with a space on both sides; a padded word of at most 3 is one gram."""
-    def grams(word: Column) -> Column:
-        w = F.concat(F.lit(" "), word, F.lit(" "))
-        n = F.length(w)
-        cut = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(n - F.lit(k - 1), F.lit(1))), lambda i: F.substr(w, i, F.lit(k)))
-        return F.when(n <= 3, cut(3)).otherwise(F.concat(cut(3), cut(4)))
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, code points) of all grams of 3 and 4 characters of each word with a space on both sides, for texts whose words stand a space apart.
+
+    A gram lies within a padded word if no character inside it is a space."""
+    line = "".join(f" {t} " for t in texts)
+    codes = np.frombuffer(f"{line}   ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = len(codes) - 3
+    text = np.repeat(np.arange(len(texts)), np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts)))
+    inner, second = codes[1 : n + 1] != 32, codes[2 : n + 2] != 32
+    at = np.concatenate([np.flatnonzero(inner[: n - 2]), np.flatnonzero((inner & second)[: n - 3])])
+    four = np.stack([codes[at], codes[at + 1], codes[at + 2], codes[at + 3]], axis=1)
+    four[: int(inner[: n - 2].sum()), 3] = 0
+    return text[at], _hashes(four), four
+
+
+def _hashes(four: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(four), np.uint64)
+    for i in range(4):
+        h = (h ^ four[:, i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def _counted(batches):
+    import pyarrow as pa
 
-    return F.flatten(F.transform(N.tokenize(text), grams))
+    for batch in batches:
+        source = batch.column("source").to_pylist()
+        for s in sorted(set(source)):
+            text, h, four = _grams([t for t, x in zip(batch.column("text").to_pylist(), source, strict=True) if x == s])
+            gram, first, at = np.unique(h, return_index=True, return_inverse=True)
+            df = np.bincount(np.unique(text * max(1, len(gram)) + at) % max(1, len(gram)), minlength=len(gram))
+            names = np.ascontiguousarray(four[first]).view("<U4").ravel()
+            yield pa.RecordBatch.from_arrays([pa.array([s] * len(gram), pa.string()), pa.array(names.tolist(), pa.string()), pa.array(df, pa.int64()), pa.array(np.bincount(at, minlength=len(gram)), pa.int64())], names=["source", "gram", "df", "tf"])
 
 
-def gram_vectors(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> DataFrame:
-    """(source, text, vector: map of gram to weight): unit TF-IDF vectors of the distinct texts among a source's pairs.
+def gram_weights(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> DataFrame:
+    """(source, gram, idf) of the max_grams most frequent grams (ties by the gram) of the distinct texts among a source's pairs.
 
-    Texts are dealt out once: their grams are counted, weighed and gathered where they are, since the grams' weights, at most
-    max_grams for each source, are broadcast."""
+    How many grams have a frequency is counted first: only those of the frequency that is cut through are ranked."""
     texts = wide.select("source", F.explode(F.array(f"{field}_norm_l", f"{field}_norm_r")).alias("text")).where(F.col("text") != "").distinct()
+    grams = cut(texts.mapInArrow(_counted, "source string, gram string, df long, tf long").groupBy("source", "gram").agg(F.sum("df").alias("df"), F.sum("tf").alias("all")))
+    upto = F.sum("c").over(Window.partitionBy("source").orderBy(F.desc("all")))
+    levels = grams.groupBy("source", "all").agg(F.count("*").alias("c")).withColumn("room", F.lit(max_grams) - upto + F.col("c")).where("room > 0")
+    sized = grams.join(levels, ["source", "all"])
+    whole = sized.where("c <= room").select("source", "gram", "df")
+    part = sized.where("c > room").withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy("gram"))).where("r <= room").select("source", "gram", "df")
     total = texts.groupBy("source").agg(F.count("*").alias("n"))
-    tf = texts.select("source", "text", F.explode(word_grams(F.col("text"))).alias("gram")).groupBy("source", "text", "gram").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("source", "gram").agg(F.count("*").alias("df"), F.sum("tf").alias("all"))
-    kept = df.withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("all"), "gram"))).where(F.col("r") <= max_grams)
-    idf = kept.join(F.broadcast(total), "source").select("source", "gram", (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = tf.join(F.broadcast(idf), ["source", "gram"]).groupBy("source", "text").agg(F.collect_list(F.struct("gram", (F.col("tf") * F.col("idf")).alias("x"))).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, e: acc + e["x"] * e["x"]))
-    w = w.withColumn("norm", norm)
-    return w.select("source", "text", F.map_from_entries(F.transform("v", lambda e: F.struct(e["gram"], e["x"] / F.col("norm")))).alias("vector"))
-
-
-def tfidf_cosine(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> DataFrame:
-    """(source, <field>_norm_l, <field>_norm_r, <field>_tfidf_cosine) of each distinct pair of texts, neither of them empty."""
-    keys = [f"{field}_norm_l", f"{field}_norm_r"]
-    vectors = cut(gram_vectors(wide, field, max_grams))
-    asked = wide.select("source", *keys).where((F.col(keys[0]) != "") & (F.col(keys[1]) != "")).distinct()
-    both = asked.join(vectors.select("source", F.col("text").alias(keys[0]), F.col("vector").alias("vl")), ["source", keys[0]]).join(vectors.select("source", F.col("text").alias(keys[1]), F.col("vector").alias("vr")), ["source", keys[1]])
-    dot = F.aggregate(F.map_values(F.map_zip_with("vl", "vr", lambda _, x, y: F.coalesce(x * y, F.lit(0.0)))), F.lit(0.0), lambda acc, x: acc + x)
-    return both.select("source", *keys, dot.alias(f"{field}_tfidf_cosine"))
+    return whole.unionByName(part).join(F.broadcast(total), "source").select("source", "gram", (F.ln((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def _cosines(left: list[str], right: list[str], hashes: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Cosines of the texts' unit TF-IDF vectors; 0 where either has no known gram."""
+    at, texts = pd.factorize(np.array([*left, *right], dtype=object))
+    text, h, _ = _grams(texts.tolist())
+    size = max(1, len(hashes))
+    gram = np.minimum(np.searchsorted(hashes, h), size - 1)
+    known = hashes[gram] == h if len(hashes) else np.zeros(len(h), bool)
+    key, tf = np.unique(text[known] * size + gram[known], return_counts=True)
+    x = tf * idf[key % size]
+    owner = key // size
+    norm = np.sqrt(np.bincount(owner, x * x, minlength=len(texts)))
+    x = x / norm[owner]
+    first = np.searchsorted(owner, np.arange(len(texts) + 1))
+    l, r = at[: len(left)], at[len(left) :]
+    many = np.diff(first)[l]
+    pair = np.repeat(np.arange(len(l)), many)
+    mine = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many) + first[l][pair]
+    want = r[pair] * size + key[mine] % size
+    other = np.minimum(np.searchsorted(key, want), max(0, len(key) - 1))
+    met = key[other] == want if len(key) else np.zeros(0, bool)
+    return np.bincount(pair[met], x[mine[met]] * x[other[met]], minlength=len(l))
+
+
+def tfidf_cosine(wide: DataFrame, field: str, max_grams: int = MAX_GRAMS) -> Column:
+    """The cosine of both texts' TF-IDF vectors, 0 where either is empty, as a column of wide.
+
+    The weights, at most max_grams for each source, are broadcast; pairs are not shuffled. The statistics are those of all pairs of a source."""
+    weights = gram_weights(wide, field, max_grams).toArrow()
+    table = {}
+    source, gram, idf = weights.column("source").to_numpy(), weights.column("gram").to_pylist(), weights.column("idf").to_numpy()
+    for s in set(source.tolist()):
+        mine = np.flatnonzero(source == s)
+        h = _hashes(np.array([gram[i] for i in mine], dtype="<U4").view(np.uint32).reshape(-1, 4))
+        order = np.argsort(h)
+        table[s] = h[order], idf[mine][order]
+    shared = wide.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf(T.DoubleType())
+    def cosine(source: pd.Series, left: pd.Series, right: pd.Series) -> pd.Series:
+        out = np.zeros(len(source))
+        for s, (hashes, idf) in shared.value.items():
+            mine = np.flatnonzero((source == s).to_numpy())
+            if len(mine):
+                out[mine] = _cosines(left.to_numpy(object)[mine].tolist(), right.to_numpy(object)[mine].tolist(), hashes, idf)
+        return pd.Series(out)
+
+    return cosine("source", f"{field}_norm_l", f"{field}_norm_r")
 
 
 def compute_features(pairs: DataFrame, s1: DataFrame, others: DataFrame, single: bool = True) -> DataFrame:
@@ -132,12 +206,10 @@ def compute_features(pairs: DataFrame, s1: DataFrame, others: DataFrame, single:
     Every feature belongs to its own pair, whatever the order of rows; token and gram statistics are those of all pairs of a source."""
     wide = cut(paired(pairs, s1, others))
     keys = [*PAIR, "source"]  # all that follows is joined by the pair, so the features themselves are dealt out once
-    local = fuzzy_features(direct_features(wide))
+    cosines = {f"{field}_tfidf_cosine": tfidf_cosine(wide, field) for field in ("name", "addr")}
+    local = fuzzy_features(direct_features(wide)).withColumns(cosines)
     out = local.select(*keys, *[c for c in FEATURES if c in local.columns])
     for field in ("name", "addr"):
-        texts = [f"{field}_norm_l", f"{field}_norm_r"]
-        cosine = wide.select(*keys, *texts).join(tfidf_cosine(wide, field), ["source", *texts]).select(*keys, f"{field}_tfidf_cosine")
-        out = out.join(shared_rare_token(wide, field), keys, "left").join(cosine, keys, "left")
-        out = out.fillna(0.0, [f"{field}_shared_rare_token", f"{field}_tfidf_cosine"])
+        out = out.join(shared_rare_token(wide, field), keys, "left").fillna(0.0, [f"{field}_shared_rare_token"])
     kind = "float" if single else "double"
     return out.select(*PAIR, "source", *[F.col(c).cast(kind).alias(c) for c in FEATURES])

@@ -64,8 +64,7 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates by the cosine of their names, rounded to 4 digits."""
     w = wide(spark, sf_dir)
-    out = w.join(features.tfidf_cosine(w, "name"), ["source", "name_norm_l", "name_norm_r"], "left")
-    return out.select(*PAIR, "source", "name_norm_l", "name_norm_r", r4(F.coalesce("name_tfidf_cosine", F.lit(0.0))).alias("score"))
+    return w.select(*PAIR, "source", "name_norm_l", "name_norm_r", r4(features.tfidf_cosine(w, "name")).alias("score"))
 
 
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,14 +204,11 @@ def feat_shared_rare(spark, sf_dir):
 @query
 def feat_tfidf_cosine(spark, sf_dir):
     w = wide(spark, sf_dir)
-    out = w.select(*PAIR, "source", *[f"{f}_norm_{e}" for f in ("name", "addr") for e in "lr"])
-    for f in ("name", "addr"):
-        out = out.join(features.tfidf_cosine(w, f), ["source", f"{f}_norm_l", f"{f}_norm_r"], "left")
-    return out.select(*PAIR, *[r4(F.coalesce(f"{f}_tfidf_cosine", F.lit(0.0))).alias(f"{f}_tfidf_cosine") for f in ("name", "addr")])
+    return w.select(*PAIR, *[r4(features.tfidf_cosine(w, f)).alias(f"{f}_tfidf_cosine") for f in ("name", "addr")])
 
 
 def _fuzzy(spark, sf_dir, *names):
-    return features.fuzzy_features(wide(spark, sf_dir)).select(*PAIR, *[r4(n).alias(n) for n in names])
+    return features.fuzzy_features(wide(spark, sf_dir), names).select(*PAIR, *[r4(n).alias(n) for n in names])
 
 
 @query

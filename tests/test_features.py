@@ -1,9 +1,13 @@
 import math
+import random
+from collections import Counter
 from itertools import product
 
+import plain
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kinspan.functions import similarity as S
 from kinspan.operators import features
@@ -51,29 +55,59 @@ def test_unknown_record_raises(spark):
         compute(spark, [("S1-1", "S2-9")], [("S1-1", "A", "", "US")], [("S2-1", "A", "", "US")])
 
 
-def dp(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
-
-
-words = st.lists(st.text("abé", max_size=5), max_size=4).map(" ".join)
-
-
-@settings(max_examples=200, deadline=None)
-@given(words, words)
-def test_similarities(a, b):
-    assert S.lcs(a, b) == dp(a, b)
-    for f in (S.ratio, S.token_sort_ratio, S.token_set_ratio, S.partial_ratio, S.weighted_ratio):
-        assert 0 <= f(a, b) <= 1 and f(a, b) == pytest.approx(f(b, a))
-    assert S.partial_ratio(a, a + b) == 1 or not a
-
-
-def test_known_similarities():
-    assert S.ratio("", "") == 1 and S.weighted_ratio("", "") == 0 and S.token_set_ratio("", "") == 0
-    assert S.token_sort_ratio("b a", "a b") == 1 and S.token_set_ratio("a b", "a b c") == 1
-    assert S.partial_ratio("abc", "xxabcxx") == 1
-    assert S.weighted_ratio("abc", "abc " + "z" * 20) == pytest.approx(0.9) and S.weighted_ratio("abc", "abc" + "z" * 40) == pytest.approx(0.6)
+words = st.lists(st.text("abé𝒳", max_size=5), max_size=4).map(" ".join)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(words, words), max_size=20))
+def test_batches_of_strings(pairs):
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    assert S.lcs_many(a, b).tolist() == [plain.lcs(x, y) for x, y in pairs]
+    assert S.partial_many(a, b).tolist() == pytest.approx([plain.partial(x, y) for x, y in pairs])
+
+
+def test_long_strings_and_small_tables(monkeypatch):
+    rng = random.Random(1)
+    text = lambda: "".join(rng.choice("abcd") for _ in range(rng.choice([0, 1, 63, 64, 65, 128, 200])))
+    a, b = [text() for _ in range(40)], [text() for _ in range(40)]
+    for cells in (1, 1 << 12, 1 << 22):
+        monkeypatch.setattr(S, "CELLS", cells)
+        assert S.lcs_many(a, b).tolist() == [plain.lcs(x, y) for x, y in zip(a, b, strict=True)]
+    assert S.partial_many(a[:8], b[:8]).tolist() == pytest.approx([plain.partial(x, y) for x, y in zip(a[:8], b[:8], strict=True)])
+
+
+def test_similarities(spark):
+    rng = random.Random(2)
+    line = lambda n: " ".join("".join(rng.choice("abé") for _ in range(rng.randint(1, 4))) for _ in range(n))
+    rows = [(line(rng.randint(0, 4)), line(rng.choice([0, 1, 2, 4, 14]))) for _ in range(300)] + [("abc", "abc " + "z" * 20), ("abc", "abc" + "z" * 40), ("", ""), ("b a", "a b"), ("a b", "a b c"), ("abc", "xxabcxx")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    x, y = (F.array_remove(F.split(c, " "), "") for c in (a, b))
+    got = df.select(a, b, S.ratio(a, b).alias("r"), S.token_sort_ratio(x, y).alias("sort"), S.token_set_ratio(x, y).alias("set"), S.weighted_ratio(a, b, x, y).alias("w")).collect()
+    for r in got:
+        assert (r.r, r.sort, r.set, r.w) == pytest.approx((plain.ratio(r.a, r.b), plain.token_sort(r.a, r.b), plain.token_set(r.a, r.b), plain.weighted(r.a, r.b))), r
+
+
+def test_cosines_and_the_limit_on_grams(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 5)))
+    texts = [" ".join(word() for _ in range(rng.randint(0, 5))) for _ in range(60)]
+    rows = [(f"S1-{i}", f"S{2 + i % 2}-{i}", f"S{2 + i % 2}", texts[i], texts[rng.randrange(60)]) for i in range(60)]
+    wide = spark.createDataFrame(rows, "source1_entity_id string, candidate_entity_id string, source string, name_norm_l string, name_norm_r string")
+    grams = lambda t: Counter(w[i : i + k] for w in (f" {x} " for x in t.split()) for k in (3, 4) for i in range(len(w) - k + 1))
+    for most in (25, 10**6):
+        want = {}
+        for s in ("S2", "S3"):
+            mine = {t for r in rows if r[2] == s for t in r[3:] if t}
+            total, df = Counter(), Counter()
+            for t in mine:
+                total.update(grams(t))
+                df.update(set(grams(t)))
+            idf = {g: math.log((1 + len(mine)) / (1 + df[g])) + 1 for g, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:most]}
+            for r in rows:
+                if r[2] == s:
+                    x, y = ({g: n * idf[g] for g, n in grams(t).items() if g in idf} for t in r[3:])
+                    norm = math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+                    want[r[0]] = sum(v * y.get(g, 0) for g, v in x.items()) / norm if norm else 0.0
+        got = {r.source1_entity_id: r.c for r in wide.select("source1_entity_id", features.tfidf_cosine(wide, "name", most).alias("c")).collect()}
+        assert got == pytest.approx(want) and max(want.values()) > 0.1
