@@ -43,12 +43,17 @@ def _ratio(a: str, b: str) -> str:
     return f"CASE WHEN length({a}) + length({b}) = 0 THEN 1.0 WHEN length({a}) = 0 OR length({b}) = 0 THEN 0.0 ELSE 2.0::DOUBLE * {_lcs(a, b)} / (length({a}) + length({b})) END"
 
 
-RECORDS = """records AS (
+RECORDS = r"""fields AS (
+ SELECT doc_id, lang, n_chars, coalesce(array_to_string(ws[substring(list_min(ks), 33)::INT:substring(list_min(ks), 33)::INT + 4], ' '), '') AS name, coalesce(array_to_string(ws[substring(list_max(ks), 33)::INT:substring(list_max(ks), 33)::INT + 6], ' '), '') AS place,
+  coalesce(array_to_string(ws[substring(list_min(list_transform(ks, lambda k : substring(k, 17))), 17)::INT:substring(list_min(list_transform(ks, lambda k : substring(k, 17))), 17)::INT + 9], ' '), '') AS passage
+ FROM (SELECT *, list_transform(range(1, len(ws) + 1), lambda i : md5(array_to_string(ws[i:i + 2], ' ')) || lpad(CAST(i AS VARCHAR), 9, '0')) AS ks
+  FROM (SELECT doc_id, lang, n_chars, list_filter(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), lambda x : length(x) <= 12) AS ws FROM documents))),
+records AS (
  SELECT 'S' || CAST(1 + doc_id % 3 AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR) AS entity_id, 'S' || CAST(1 + doc_id % 3 AS VARCHAR) AS source,
-  coalesce(CASE doc_id % 3 WHEN 0 THEN substring(text, 1, 40) || ' Private Limited' WHEN 1 THEN substring(text, 1, 40) || ' Pvt Ltd' ELSE '-- ' || substring(text, 1, 40) || ' & Co' END, '') AS business_name,
-  coalesce(substring(text, 41, 60) || ', ' || CAST(n_chars AS VARCHAR) || CASE doc_id % 3 WHEN 0 THEN ' Main Street' ELSE ' Main St' END, '') AS business_address,
-  coalesce(lang, '') AS country, coalesce(substring(text, 101, 100), '') AS passage
- FROM documents)"""
+  CASE doc_id % 3 WHEN 0 THEN name || ' Private Limited' WHEN 1 THEN name || ' Pvt Ltd' ELSE '-- ' || name || ' & Co' END AS business_name,
+  coalesce(place || ', ' || CAST(n_chars AS VARCHAR) || CASE doc_id % 3 WHEN 0 THEN ' Main Street' ELSE ' Main St' END, '') AS business_address,
+  coalesce(lang, '') AS country, passage
+ FROM fields)"""
 
 PREP = f"""words AS (
  SELECT *, {_spaces("lower(country)")} AS country_norm, {_words(_punct(f"lower(regexp_replace(business_name, '{JUNK}', ''))"))} AS nw, {_words(_punct("lower(business_address)"))} AS aw,
@@ -193,15 +198,15 @@ split AS (SELECT source1_entity_id, CASE WHEN row_number() OVER (ORDER BY h, sou
         "pruned_keys_lowcap": _with("SELECT * FROM kept", *keys, low),
         "key_pair_estimate": _with("SELECT source, sum(left_n * right_n)::BIGINT AS estimated_pairs FROM kept GROUP BY 1", *keys, full),
         "pair_weights": _with(f"SELECT {pair}, source, round(weight, 4) AS weight FROM pairs", *keys, full),
-        "candidates_topk": _with(f"SELECT {pair}, source, round(weight, 4) AS weight, rank FROM cands", *keys, full),
-        "candidates_topk_lowcap": _with(f"SELECT {pair}, source, round(weight, 4) AS weight, rank FROM cands", *keys, low),
+        "candidates_topk": _with(f"SELECT {pair}, source, weight, rank FROM cands", *keys, full),
+        "candidates_topk_lowcap": _with(f"SELECT {pair}, source, weight, rank FROM cands", *keys, low),
         "candidate_lists": _with(lists("cands", "candidate_entity_ids"), *keys, full),
         "feat_exact": _with(f"SELECT {pair}, {flag('business_name_l', 'business_name_r')} AS name_exact_raw, {flag('name_norm_l', 'name_norm_r')} AS name_exact_norm, {flag('addr_norm_l', 'addr_norm_r')} AS addr_exact_norm, {ce} AS country_exact FROM wide", *wide),
         "feat_jaccard": _with(f"SELECT {pair}, round({nj}, 4) AS name_jaccard, round({aj}, 4) AS addr_jaccard FROM wide", *wide),
         "feat_ngram_jaccard": _with(f"SELECT {pair}, round({_jaccard('gl', 'gr')}, 4) AS name_char_ngram_jaccard FROM (SELECT *, {_grams('name_norm_l', 3)} AS gl, {_grams('name_norm_r', 3)} AS gr FROM wide)", *wide),
         "feat_lengths": _with("SELECT " + pair + ", " + ", ".join(f"round(least({length(f + '_norm_l')}, {length(f + '_norm_r')})::DOUBLE / greatest({length(f + '_norm_l')}, {length(f + '_norm_r')}), 4) AS {f}_len_ratio, abs({length(f + '_norm_l')} - {length(f + '_norm_r')})::DOUBLE AS {f}_len_diff" for f in ("name", "addr")) + ", abs(len(name_tokens_l) - len(name_tokens_r))::DOUBLE AS name_token_count_diff FROM wide", *wide),
         "feat_shared_digit": _with(f"SELECT {pair}, CAST(list_has_any(digit_tokens_l, digit_tokens_r) AS INT)::DOUBLE AS addr_shared_digit_token FROM wide", *wide),
-        "feat_cross": _with(f"SELECT {pair}, round(({nj}) * ({aj}), 4) AS name_x_addr_jaccard, round({ce} * ({nj}), 4) AS country_x_name_jaccard, round({ce} * ({aj}), 4) AS country_x_addr_jaccard FROM wide", *wide),
+        "feat_cross": _with(f"SELECT {pair}, round(({nj}) * ({aj}), 6) AS name_x_addr_jaccard, round({ce} * ({nj}), 6) AS country_x_name_jaccard, round({ce} * ({aj}), 6) AS country_x_addr_jaccard FROM wide", *wide),
         "token_rarity": _with("SELECT source, token, round(weight, 4) AS weight, 'name' AS field FROM rarity_name UNION ALL SELECT source, token, round(weight, 4), 'addr' FROM rarity_addr", *wide, _rarity("name"), _rarity("addr")),
         "feat_shared_rare": _with(f"SELECT {pair}, round(coalesce(n.weight, 0.0), 4) AS name_shared_rare_token, round(coalesce(a.weight, 0.0), 4) AS addr_shared_rare_token FROM wide LEFT JOIN rare_name n USING ({pair}) LEFT JOIN rare_addr a USING ({pair})", *wide, _rarity("name"), _rarity("addr")),
         "feat_tfidf_cosine": _with(f"SELECT {pair}, round(coalesce(n.cosine, 0.0), 4) AS name_tfidf_cosine, round(coalesce(a.cosine, 0.0), 4) AS addr_tfidf_cosine FROM wide w LEFT JOIN cos_name n ON n.source = w.source AND n.l = w.name_norm_l AND n.r = w.name_norm_r LEFT JOIN cos_addr a ON a.source = w.source AND a.l = w.addr_norm_l AND a.r = w.addr_norm_r", *wide, _tfidf("name"), _tfidf("addr")),

@@ -142,12 +142,12 @@ def pair_weights(spark, sf_dir):
 
 @query
 def candidates_topk(spark, sf_dir):
-    return candidates(spark, sf_dir).withColumn("weight", r4("weight")).withColumn("rank", F.col("rank").cast("long"))
+    return candidates(spark, sf_dir).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query
 def candidates_topk_lowcap(spark, sf_dir):
-    return candidates(spark, sf_dir, LOW).withColumn("weight", r4("weight")).withColumn("rank", F.col("rank").cast("long"))
+    return candidates(spark, sf_dir, LOW).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query
@@ -182,7 +182,7 @@ def feat_shared_digit(spark, sf_dir):
 
 @query
 def feat_cross(spark, sf_dir):
-    return direct(spark, sf_dir, "name_x_addr_jaccard", "country_x_name_jaccard", "country_x_addr_jaccard")
+    return features.direct_features(wide(spark, sf_dir)).select(*PAIR, *[F.round(n, 6).alias(n) for n in ("name_x_addr_jaccard", "country_x_name_jaccard", "country_x_addr_jaccard")])
 
 
 @query
