@@ -247,6 +247,13 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
     return whole.unionByName(near).unionByName(hot)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, text, given): rows are known by id and text; those without an id by a marked hash of the text. given is the id as it was."""
+    th, kind = F.xxhash64("text"), dict(docs.dtypes)["doc_id"]
+    lone = F.col("doc_id").isNull()
+    return docs.select(F.coalesce("doc_id", F.lit("0").cast(kind)).alias("doc_id"), F.when(lone, th.bitwiseXOR(F.lit(0x5851F42D4C957F2D))).otherwise(th).alias("th"), "text", F.col("doc_id").alias("given"))
+
+
 def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     """Removes from the UTF-8 bytes of every row of docs (doc_id, text) those covered by a `length`-byte string that also starts elsewhere.
 
@@ -256,11 +263,11 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (the ranges s to e - 1) and kept (the bytes that remain).
 
     Null text counts as empty; shorter rows lose nothing; repeated rows are each other's copies, whether or not they share
-    a doc_id; a row with a null doc_id takes no part; an empty table gives no row; other columns are ignored."""
-    base = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    some = base.where(F.col("doc_id").isNotNull())
-    spans = _spans(some, length).groupBy("doc_id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    final = some.join(spans, ["doc_id", "th"], "left").select("doc_id", "text", "spans").unionByName(base.where(F.col("doc_id").isNull()).drop("th").withColumn("spans", F.lit(None).cast(SPAN)))
+    a doc_id or have one; a very long text is one row, whose anchors are found piece by piece; of equally small anchors the leftmost counts; an
+    empty table gives no row; other columns are ignored."""
+    some = _keyed(docs)
+    spans = _spans(some.drop("given"), length).groupBy("doc_id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    final = some.join(spans, ["doc_id", "th"], "left").select(F.col("given").alias("doc_id"), "text", "spans")
 
     def keep(batches):
         import pyarrow as pa
@@ -290,7 +297,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
                 sha.append(hashlib.sha256(kept[-1]).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cut, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string()), pa.array(ranges, pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept"])
 
-    return final.mapInArrow(keep, f"doc_id {dict(base.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed {SPAN}, kept binary")
+    return final.mapInArrow(keep, f"doc_id {dict(final.dtypes)['doc_id']}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed {SPAN}, kept binary")
 
 
 def _starts(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
@@ -336,8 +343,8 @@ def maximal_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     can a group start: there the suffixes are sorted and their common-prefix intervals scanned, in a task that holds places, not texts.
     The number of rows is that of the occurrences: for a text that is periodic it grows with the square of the periods.
     Rows are treated as suffix_dedup treats them."""
-    some = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), "text")
-    kind = dict(some.dtypes)["doc_id"]
+    given = _keyed(docs)
+    some, kind = given.drop("given"), dict(given.dtypes)["doc_id"]
     spans = materialize(_spans(some, length).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
     starts = materialize(_starts(some, spans, length), "starts")
     heads = starts.groupBy("h", "k").agg(F.count("*").alias("cnt"), F.min("before").alias("lo"), F.max("before").alias("hi")).where("cnt > 1 and (lo < 0 or lo < hi)")
@@ -364,7 +371,7 @@ def maximal_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
                 if rows:
                     yield as_batch()
 
-    found = some.join(want, ["doc_id", "th"]).join(spans, ["doc_id", "th"]).select("doc_id", "text", "spans", "want")
+    found = given.join(want, ["doc_id", "th"]).join(spans, ["doc_id", "th"]).select(F.col("given").alias("doc_id"), "text", "spans", "want")
     found = found.mapInArrow(suffixes, f"h long, k int, doc_id {kind}, s int, before short, data binary")
 
     def scan(batches):

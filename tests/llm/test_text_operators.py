@@ -117,12 +117,12 @@ def test_levels():
 @pytest.mark.parametrize("length", [60, 200])
 def test_suffix_dedup(spark, rows, length):
     texts = [(i, (t or "").encode()) for i, t, *_ in rows]
-    count = Counter(b[a : a + length] for i, b in texts if i is not None for a in range(len(b) - length + 1))
+    count = Counter(b[a : a + length] for _, b in texts for a in range(len(b) - length + 1))
     want = {}
     for i, b in texts:
         gone = set()
         for a in range(len(b) - length + 1):
-            if i is not None and count[b[a : a + length]] > 1:
+            if count[b[a : a + length]] > 1:
                 gone |= set(range(a, a + length))
         want[i] = (len(b), len(gone), sum(1 for x in gone if x - 1 not in gone), hashlib.sha256(bytes(x for j, x in enumerate(b) if j not in gone)).hexdigest())
     out = suffix_dedup(frame(spark, rows), length).collect()
@@ -157,7 +157,7 @@ def test_repeat_groups_are_all_maximal_repeats_with_all_occurrences(spark, monke
     p, q, own = text(150), text(90), text(75)
     texts = [text(30) + p + text(30), text(30) + p + text(20), text(10) + p[20:110] + text(40), text(9) + own + text(12) + own + text(5) + own[5:], p[60:] + q, text(20) + p[60:] + q + text(8), q[:70] + text(50), "abc" * 40, p + q, p + q, text(100)]
     rows = [(i, t, None, None, 1) for i, t in enumerate(texts)] + [(9, texts[9], None, None, 1), (None, texts[0], None, None, 1), (20, None, None, None, 1)]
-    whole = [(i, (t or "").encode()) for i, t, *_ in rows if i is not None]
+    whole = [(i, (t or "").encode()) for i, t, *_ in rows]
     want = []
     for n in range(length, max(len(b) for _, b in whole) + 1):
         places = {}
@@ -167,11 +167,11 @@ def test_repeat_groups_are_all_maximal_repeats_with_all_occurrences(spark, monke
         for at in places.values():
             differ = lambda step: len({whole[x][1][a + step] if 0 <= a + step < len(whole[x][1]) else (x, a) for x, a in at}) > 1  # noqa: B023, E731
             if len(at) > 1 and differ(-1) and differ(n):
-                want.append((n, sorted((whole[x][0], a) for x, a in at)))
+                want.append((n, sorted(((whole[x][0], a) for x, a in at), key=str)))
     groups = {}
     for r in maximal_repeats(frame(spark, rows), length).collect():
         groups.setdefault((r.repeat_id, r.n_bytes), []).append((r.doc_id, r.start))
-    assert sorted((n, sorted(at)) for (_, n), at in groups.items()) == sorted(want) and len(want) > 20
+    assert sorted(((n, sorted(at, key=str)) for (_, n), at in groups.items()), key=str) == sorted(want, key=str) and len(want) > 20
 
 
 def test_interval_tree_and_maximal_repeats():
@@ -290,6 +290,37 @@ def test_quality_thresholds_follow_the_group(spark):
     assert [i for i in range(200) if not got[i]] == list(range(0, 200, 40)) and all(got[i] for i in range(200, 400))
 
 
+def test_rows_that_share_an_id_or_repeat(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"u{rng.randrange(10**5)}" for _ in range(n))
+    a, b, item = text(60), text(60), text(12)
+    rows = [(1, a), (1, a), (1, b), (2, a), (None, a), (None, b + " " + item), (3, text(40) + " " + item), (3, text(40)), (None, None), (4, "")]
+    df = frame(spark, [(i, t, "en", "a", 1) for i, t in rows])
+    raw = [(t or "").encode() for _, t in rows]
+    count = Counter(x[p : p + 200] for x in raw for p in range(len(x) - 199))
+    want = []
+    for (i, _), x in zip(rows, raw, strict=True):
+        gone = {p + q for p in range(len(x) - 199) if count[x[p : p + 200]] > 1 for q in range(200)}
+        want.append((i, len(x), len(gone)))
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup(df).collect()), key=str) == sorted(want, key=str)
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert sorted(((r.doc_id, r.item_id) for r in contaminated(df, bench).collect()), key=str) == [(3, 7), (None, 7)]
+    assert sorted(r.text for r in drop_contaminated(df, bench).where("text <> ''").collect()) == sorted(t for _, t in rows if t and item not in t)
+    counts = Counter((i, len(split(t))) for i, t in rows)
+    assert Counter((r.doc_id, r.n_words) for r in quality_rules(df).collect()) == counts
+    assert Counter((r.doc_id, r.n_words) for r in substring_dedup(df).collect()) == counts
+
+
+def test_a_very_long_text_in_rules_and_decontamination(spark):
+    rng = random.Random(12)
+    long = " ".join(f"{rng.randrange(10**6)}" for _ in range(150_000))
+    item = " ".join(long.split()[149_000:149_020])
+    df = frame(spark, [(1, long, "en", "a", 1), (2, "short and clean " * 3, "en", "a", 1)])
+    assert [(r.doc_id, r.n_shared) for r in contaminated(df, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()] == [(1, 16)]
+    got = {r.doc_id: (r.n_words, r.n_repeat_words) for r in quality_rules(df).collect()}
+    assert got == {1: (150_000, 0), 2: (9, 0)}
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
