@@ -16,6 +16,7 @@ SEGMENT = 1 << 19
 IN_TASK = 2048  # distinct contexts of one anchor string that one task sorts; larger groups are counted string by string
 
 SPAN = "array<struct<s:int,e:int>>"
+GIVEN = "CASE WHEN th & 1 = 0 THEN doc_id END AS doc_id"
 
 
 def window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -248,10 +249,9 @@ def _spans(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, text, given): rows are known by id and text; those without an id by a marked hash of the text. given is the id as it was."""
-    th, kind = F.xxhash64("text"), dict(docs.dtypes)["doc_id"]
-    lone = F.col("doc_id").isNull()
-    return docs.select(F.coalesce("doc_id", F.lit("0").cast(kind)).alias("doc_id"), F.when(lone, th.bitwiseXOR(F.lit(0x5851F42D4C957F2D))).otherwise(th).alias("th"), "text", F.col("doc_id").alias("given"))
+    """(doc_id, th, text): rows are known by id and hash of the text, whose lowest bit marks those without an id; GIVEN is the id as it was."""
+    th, kind = F.xxhash64("text").bitwiseAND(F.lit(-2)), dict(docs.dtypes)["doc_id"]
+    return docs.select(F.coalesce("doc_id", F.lit("0").cast(kind)).alias("doc_id"), th.bitwiseOR(F.col("doc_id").isNull().cast("long")).alias("th"), "text")
 
 
 def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
@@ -266,8 +266,8 @@ def suffix_dedup(docs: DataFrame, length: int = 200) -> DataFrame:
     a doc_id or have one; a very long text is one row, whose anchors are found piece by piece; of equally small anchors the leftmost counts; an
     empty table gives no row; other columns are ignored."""
     some = _keyed(docs)
-    spans = _spans(some.drop("given"), length).groupBy("doc_id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    final = some.join(spans, ["doc_id", "th"], "left").select(F.col("given").alias("doc_id"), "text", "spans")
+    spans = _spans(some, length).groupBy("doc_id", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    final = some.join(spans, ["doc_id", "th"], "left").selectExpr(GIVEN, "text", "spans")
 
     def keep(batches):
         import pyarrow as pa
@@ -343,8 +343,8 @@ def maximal_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     can a group start: there the suffixes are sorted and their common-prefix intervals scanned, in a task that holds places, not texts.
     The number of rows is that of the occurrences: for a text that is periodic it grows with the square of the periods.
     Rows are treated as suffix_dedup treats them."""
-    given = _keyed(docs)
-    some, kind = given.drop("given"), dict(given.dtypes)["doc_id"]
+    some = _keyed(docs)
+    kind = dict(some.dtypes)["doc_id"]
     spans = materialize(_spans(some, length).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
     starts = materialize(_starts(some, spans, length), "starts")
     heads = starts.groupBy("h", "k").agg(F.count("*").alias("cnt"), F.min("before").alias("lo"), F.max("before").alias("hi")).where("cnt > 1 and (lo < 0 or lo < hi)")
@@ -371,7 +371,7 @@ def maximal_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
                 if rows:
                     yield as_batch()
 
-    found = given.join(want, ["doc_id", "th"]).join(spans, ["doc_id", "th"]).select(F.col("given").alias("doc_id"), "text", "spans", "want")
+    found = some.join(want, ["doc_id", "th"]).join(spans, ["doc_id", "th"]).selectExpr(GIVEN, "text", "spans", "want")
     found = found.mapInArrow(suffixes, f"h long, k int, doc_id {kind}, s int, before short, data binary")
 
     def scan(batches):
