@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from kinspan.llm.common import bounded, materialize, scratch_path, small
 
 CELLS = 65536  # of the id range at first: the grain at which ids are dealt to shards
+TOP = 256  # cells that are added up together first
 FAN = 4096  # cells that a heavy cell is cut into
 SHARD_BYTES = 24 << 20  # of payload, about, that one shard gets
 TASKS = 8192  # that write or read at most; a task writes its shards one after the other
@@ -93,11 +94,11 @@ class _Shards:
             width = max(1, width // FAN)
             self.cuts.append((small(heavy.select(F.col("at").alias("heavy"))), width))
         order = lambda *c: Window.orderBy(*c)
-        cells = cells.withColumn("top", ((F.col("at") - F.lit(self.lo)) / self.first).cast("int"))
-        tops = cells.groupBy("top").agg(F.sum("n").alias("all"))  # CELLS rows at most
+        cells = cells.withColumn("top", F.expr(f"(at - {self.lo}) div {self.first * TOP}"))
+        tops = cells.groupBy("top").agg(F.sum("n").alias("all"))  # CELLS / TOP rows at most
         tops = tops.select("top", (F.sum("all").over(order("top")) - F.col("all")).alias("before"))
         upto = F.sum("n").over(Window.partitionBy("top").orderBy("at")) - F.col("n") + F.col("before")
-        self.of = materialize(cells.join(bounded(tops, CELLS), "top").select(F.col("at").alias("cell"), F.floor(upto / shard_bytes).cast("int").alias("shard")), "warc-shards")
+        self.of = materialize(cells.join(bounded(tops, CELLS // TOP), "top").select(F.col("at").alias("cell"), F.floor(upto / shard_bytes).cast("int").alias("shard")), "warc-shards")
         self.count = (self.of.agg(F.max("shard").alias("n")).first().n or 0) + 1
 
     def _at(self, rows: DataFrame) -> DataFrame:
