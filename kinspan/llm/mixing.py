@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from kinspan.llm.common import bounded, materialize, n_words, small
 
-BINS = 1 << 16  # of the rank keys of a source
+BINS = 1 << 13  # of the rank keys of a source
 MOST = 3  # times that a document, and so a source, may be taken
 #: Columns of our own beside the callers' ones.
 SIZE, HASH, COPIES, PLAN = "__kinspan_size", "__kinspan_hash", "__kinspan_copies", "__kinspan_plan_"
@@ -45,15 +45,15 @@ def _drawn(lam: Column) -> tuple[Column, Column]:
     return p, F.when((p > 0) & (p < 1), (u / (1 - u)) / (p / (1 - p)))
 
 
-def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 17) -> DataFrame:
-    """What decides on the rows of each source: (source_key, source_size, target, whole, lam, cut, last, drop), a row for each source.
+def mix_plan(rows: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
+    """From rows (source, SIZE, HASH) what decides on the rows of each source: (source_key, source_size, target, whole, lam, cut, last, drop), a row for each source.
 
     Every row gets `whole` copies, floor(target / source size). For the words still needed, rows have inclusion probabilities that
     lam makes sum up to them; rows whose probability reaches 1 are certain. The others are ranked by the Pareto key and taken up to `cut`,
     the words still needed; the gap at the end is closed by one row more (`last`), or by one in place of another (`drop`), whichever comes
     nearest. Rows that repeat both id and text share a key and are taken together. Sources, as they have to be put in order, are a row each on the driver."""
-    spark = docs.sparkSession
-    units = _sized(docs.select("doc_id", "text", "source"), seed).groupBy("source", SIZE, HASH).agg(F.count("*").alias("c")).withColumn("words", F.col("c") * F.col(SIZE))
+    spark = rows.sparkSession
+    units = rows.groupBy("source", SIZE, HASH).agg(F.count("*").alias("c")).withColumn("words", F.col("c") * F.col(SIZE))
     units = materialize(units, "mix-units")
     sizes = [(r.source, int(r.n)) for r in units.groupBy("source").agg(F.sum("words").alias("n")).collect()]
     goal = targets(sizes, weights, most)
@@ -99,14 +99,14 @@ def mix_plan(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int
     return materialize(out.select("source_key", "source_size", "target", "whole", "lam", "cut", "best.last", "best.drop"), "mix-decided")
 
 
-def _copies(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """docs with SIZE, HASH and COPIES, and the plan's columns, in the docs' own partitions: the plan has a row for each source."""
+def _copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows (source, SIZE, HASH, ...) with COPIES and the plan's columns, in their own partitions: the plan has a row for each source."""
     plan = plan.withColumnsRenamed({c: f"{PLAN}{c}" for c in plan.columns})
     of = lambda c: F.col(f"{PLAN}{c}")
     p, x = _drawn(of("lam"))
     taken = (p >= 1) | ((p > 0) & (of("cut").isNull() | (x <= of("cut")))) | (F.col(HASH) == of("last"))
     taken = F.coalesce(taken, F.lit(False)) & ~F.coalesce(F.col(HASH) == of("drop"), F.lit(False))
-    rows = _sized(docs, seed).join(small(plan), F.col("source").eqNullSafe(of("source_key")))
+    rows = rows.join(small(plan), F.col("source").eqNullSafe(of("source_key")))
     return rows.withColumn(COPIES, of("whole") + taken.cast("int"))
 
 
@@ -116,11 +116,13 @@ def pareto_mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: in
     Returns doc_id, size, source_size, target, taken, copies, row_hash, source. Null text and text without words have size 0 and
     are taken in whole copies of 0 words; null source is a source, and so is a null id an id; a very long text counts with all its words;
     repeated rows count each and are taken alike; equal rank keys are taken together; an empty table gives no row; extra columns are ignored."""
-    rows = _copies(docs.select("doc_id", "text", "source"), mix_plan(docs, weights, most, seed), seed)
+    sized = materialize(_sized(docs.select("doc_id", "text", "source"), seed).drop("text"), "mix-rows")
+    rows = _copies(sized, mix_plan(sized, weights, most))
     return rows.select("doc_id", F.col(SIZE).alias("size"), F.col(f"{PLAN}source_size").alias("source_size"), F.col(f"{PLAN}target").alias("target"), (F.col(COPIES) * F.col(SIZE)).cast("long").alias("taken"), F.col(COPIES).alias("copies"), F.col(HASH).alias("row_hash"), "source")
 
 
 def take(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 17) -> DataFrame:
     """The rows of docs, with all their columns, each as often as pareto_mix decides, which says how odd rows are treated. No text is shuffled."""
-    rows = _copies(docs, mix_plan(docs, weights, most, seed), seed).where(F.col(COPIES) > 0)
+    plan = mix_plan(_sized(docs.select("doc_id", "text", "source"), seed).drop("text"), weights, most)
+    rows = _copies(_sized(docs, seed), plan).where(F.col(COPIES) > 0)
     return rows.withColumn(COPIES, F.explode(F.sequence(F.lit(1), F.col(COPIES)))).select(*[f"`{c}`" for c in docs.columns])
