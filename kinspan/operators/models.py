@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -9,6 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinspan.operators.features import FEATURES
 from kinspan.schema import PAIR, SEED
@@ -39,10 +42,6 @@ def tfidf_score() -> Column:
 BASELINES = {"exact_name": lambda: exact_score(False), "exact_name_country": lambda: exact_score(True), "weighted_fuzzy": rule_score, "tfidf_retrieval": tfidf_score}
 
 
-def _assembled(features: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features)
-
-
 def gbt(rounds: int = 400, **more) -> GBTClassifier:
     """Boosted trees; trees grow level by level, to 64 leaves at most."""
     return GBTClassifier(maxIter=rounds, stepSize=0.05, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.9", minInstancesPerNode=20, seed=SEED, **more)
@@ -74,8 +73,17 @@ def average_precision(model: PipelineModel, rows: DataFrame) -> float:
 
 
 def score_pairs(features: DataFrame, model) -> DataFrame:
-    """(ids, source, score): model is a column, a fitted PipelineModel, or anything whose score(features) gives a column."""
-    if isinstance(model, PipelineModel):
+    """(ids, source, score): model is a column, a fitted PipelineModel, anything whose predict_proba(matrix of FEATURES) gives two columns of
+    probabilities, batch by batch where the rows are, or anything whose score(features) gives a column."""
+    if hasattr(model, "predict_proba"):
+        shared = features.sparkSession.sparkContext.broadcast(model)
+
+        @F.pandas_udf(T.DoubleType())
+        def probability(x: pd.DataFrame) -> pd.Series:
+            return pd.Series(np.asarray(shared.value.predict_proba(x.to_numpy(np.float32)))[:, 1].astype(float))
+
+        out = features.withColumn("score", probability(F.struct(*FEATURES)))
+    elif isinstance(model, PipelineModel):
         out = model.transform(features).withColumn("score", vector_to_array("probability")[1])
     else:
         out = features.withColumn("score", (model if isinstance(model, Column) else model.score(features)).cast("double"))
