@@ -75,12 +75,11 @@ def average_precision(model: PipelineModel, rows: DataFrame) -> float:
 def score_pairs(features: DataFrame, model) -> DataFrame:
     """(ids, source, score): model is a column, a fitted PipelineModel, anything whose predict_proba(matrix of FEATURES) gives two columns of
     probabilities, batch by batch where the rows are, or anything whose score(features) gives a column."""
-    if hasattr(model, "predict_proba"):
-        shared = features.sparkSession.sparkContext.broadcast(model)
+    if not isinstance(model, Column) and hasattr(model, "predict_proba"):
 
         @F.pandas_udf(T.DoubleType())
         def probability(x: pd.DataFrame) -> pd.Series:
-            return pd.Series(np.asarray(shared.value.predict_proba(x.to_numpy(np.float32)))[:, 1].astype(float))
+            return pd.Series(np.asarray(model.predict_proba(x.to_numpy(np.float32)))[:, 1].astype(float))
 
         out = features.withColumn("score", probability(F.struct(*FEATURES)))
     elif isinstance(model, PipelineModel):

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import argparse
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kinspan.schema import CANDIDATE_COLUMNS, TRUTH_COLUMNS
 
@@ -18,10 +22,14 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(no, line) of a text file; lines are numbered within a file in the order in which they stand."""
-    text = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    first = text.agg(F.min("at").alias("a")).first().a
-    return text.select(F.when(F.col("at") == F.lit(first), 1).otherwise(2).alias("no"), F.col("at"), F.col("value").alias("line"))
+    """(no, at, line) of a text file or of each of a folder's parts: no is the line's number within its file, from 1.
+
+    Lines are counted split by split; a line's number is its place within the split and the lines of the splits before."""
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    sizes = text.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    sizes = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n"))  # a row for each split
+    text = text.join(F.broadcast(sizes), ["file", "block"])
+    return text.select((F.col("at") - F.col("first") + F.col("before") + 1).alias("no"), "at", F.col("value").alias("line"))
 
 
 def header_problem(header: str | None, expected: list[str], name: str) -> tuple[str, str] | None:
@@ -35,12 +43,12 @@ def header_problem(header: str | None, expected: list[str], name: str) -> tuple[
 
 
 def parse_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows (at, s1, ids), malformed (at, line)) of the lines after the header; blank lines are neither."""
+    """(rows (at, s1, ids), malformed (no, line)) of the lines after the header; blank lines are neither."""
     has_tab = F.instr("line", "\t") > 0
     rest = F.substr(F.col("line"), F.instr("line", "\t") + 1)
     ids = F.when(F.trim(rest) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ",", -1))
     rows = lines.where(has_tab).select("at", F.substring_index("line", "\t", 1).alias("s1"), ids.alias("ids"))
-    return rows, lines.where(~has_tab & (F.trim("line") != "")).select("at", "line")
+    return rows, lines.where(~has_tab & (F.trim("line") != "")).select("no", "line")
 
 
 def _finding(items: DataFrame, rule: str, file: str, severity: str = "error") -> DataFrame:
@@ -124,7 +132,7 @@ def validate_files(spark: SparkSession, matching: str, candidate: str | None, so
             continue
         rows, bad = parse_rows(_lines(spark, path).where("no > 1"))
         parsed[path] = rows
-        for found in (_finding(bad.select(F.col("line").alias("item")), "malformed_row", path), check_rows(rows, required, valid, path)):
+        for found in (_finding(bad.select(F.format_string("line %06d: %s", "no", "line").alias("item")), "malformed_row", path), check_rows(rows, required, valid, path)):
             out = found if out is None else out.unionByName(found)
     if matching in parsed and candidate in parsed:
         out = out.unionByName(not_candidates(parsed[matching], parsed[candidate], matching))
@@ -133,3 +141,25 @@ def validate_files(spark: SparkSession, matching: str, candidate: str | None, so
 
 def passed(findings: DataFrame) -> bool:
     return not findings.where("severity = 'error'").head(1)
+
+
+def main(arguments: list[str] | None = None) -> int:
+    """Command line: prints every finding and PASS or FAIL; the exit code is 0 or 1."""
+    parser = argparse.ArgumentParser(prog="python -m kinspan.operators.validate", description="Checks result files.")
+    parser.add_argument("--matching", required=True, help="TSV of the matches")
+    parser.add_argument("--candidates", help="TSV of the candidates")
+    parser.add_argument("--source1", required=True, help="TSV of the records that need a row each")
+    parser.add_argument("--check-ids", nargs="*", metavar="TSV", help="TSV files of the records that ids must be of")
+    given = parser.parse_args(arguments)
+    spark = SparkSession.builder.getOrCreate()
+    findings = validate_files(spark, given.matching, given.candidates, given.source1, given.check_ids)
+    rows = findings.orderBy("severity", "file", "rule").collect()  # a row for each rule at most
+    for r in rows:
+        print(f"{r.severity.upper()} {r.file}: {r.rule} ({r.n}): {r.examples}")
+    good = not any(r.severity == "error" for r in rows)
+    print("PASS" if good else "FAIL")
+    return 0 if good else 1
+
+
+if __name__ == "__main__":
+    sys.exit(main())

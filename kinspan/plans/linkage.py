@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from kinspan.operators.decide import apply_thresholds, best_threshold, optimize_
 from kinspan.operators.evaluate import blocking_quality, error_examples, macro_f_beta
 from kinspan.operators.features import FEATURES, compute_features
 from kinspan.operators.labels import grouped_split, label_candidates, truth_pairs
+from kinspan.operators.lineage import cut
 from kinspan.operators.models import BASELINES, fit_gbt, score_pairs
 from kinspan.operators.output import enforce_valid, output_frame
 from kinspan.schema import PAIR, BlockingConfig, ThresholdConfig
@@ -20,7 +20,7 @@ def run_pipeline(s1: DataFrame, s2: DataFrame, s3: DataFrame, model, thresholds:
     """candidates, scored, matching_results and candidate_pairs of three tables of records; model as score_pairs takes it."""
     required = s1.select(F.col("entity_id").alias(PAIR[0]))
     others = s2.unionByName(s3)
-    candidates = generate_candidates(s1, s2, s3, cfg=cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    candidates = cut(generate_candidates(s1, s2, s3, cfg=cfg))
     scored = score_pairs(compute_features(candidates, s1, others), model)
     matched = enforce_valid(apply_thresholds(scored, thresholds), candidates, others.select("entity_id"))
     return {"candidates": candidates, "scored": scored, "matching_results": output_frame(matched, required, "matched_entity_ids"), "candidate_pairs": output_frame(candidates, required, "candidate_entity_ids")}

@@ -43,9 +43,9 @@ def candidates(spark: SparkSession, sf_dir: str, cfg: BlockingConfig = BlockingC
     return blocking.generate_candidates(*demo.sources(spark, sf_dir), cfg=cfg)
 
 
-def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
     s1, s2, s3 = demo.sources(spark, sf_dir)
-    return cut(features.paired(candidates(spark, sf_dir), s1, s2.unionByName(s3)))  # several of the features read it more than once
+    return cut(features.paired(cut(candidates(spark, sf_dir)) if of is None else of, s1, s2.unionByName(s3)))  # several of the features read it more than once
 
 
 def direct(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
@@ -54,16 +54,16 @@ def direct(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
 
 def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s2, s3 = demo.sources(spark, sf_dir)
-    return features.compute_features(candidates(spark, sf_dir), s1, s2.unionByName(s3), single=False)
+    return features.compute_features(cut(candidates(spark, sf_dir)), s1, s2.unionByName(s3), single=False)
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return demo.sources(spark, sf_dir)[0].select(F.col("entity_id").alias(PAIR[0]))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates by the cosine of their names, rounded to 4 digits."""
-    w = wide(spark, sf_dir)
+def scored(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
+    """Candidates (or the pairs given) by the cosine of their names, rounded to 4 digits."""
+    w = wide(spark, sf_dir, of)
     return w.select(*PAIR, "source", "name_norm_l", "name_norm_r", r4(features.tfidf_cosine(w, "name")).alias("score"))
 
 
@@ -353,7 +353,9 @@ def error_examples(spark, sf_dir):
 @query
 def matching_results(spark, sf_dir):
     _, s2, s3 = demo.sources(spark, sf_dir)
-    valid = output.enforce_valid(accepted(spark, sf_dir), candidates(spark, sf_dir), s2.unionByName(s3).select("entity_id"))
+    found = cut(candidates(spark, sf_dir))
+    kept = decide.apply_thresholds(scored(spark, sf_dir, found), ThresholdConfig(0.4, 0.6))
+    valid = output.enforce_valid(kept, found, s2.unionByName(s3).select("entity_id"))
     return output.output_frame(valid, entities(spark, sf_dir), "matched_entity_ids")
 
 

@@ -42,9 +42,6 @@ class ThresholdConfig:
 VAL_FRACTION = 0.15
 SEED = 42
 NAME_NGRAM = 3
-#: Parts of the configuration that no operator reads; kept because callers of the pipeline may.
-NAME_NGRAM_SIZE = 4
-NEGATIVES_PER_POSITIVE = 5
 
 
 @dataclass(frozen=True)
@@ -78,8 +75,11 @@ class Paths:
         return self.data_root / "train" / "train_ground_truth.tsv"
 
     def discover(self, split: str) -> dict[str, Path]:
-        """The source files of a split that exist, by name; raises where one is missing."""
-        found = {f"source{i}": self.source(split, i) for i in (1, 2, 3)}
+        """The source files of a split that exist, by name: at their usual place or, failing that, the first of that name anywhere below the data folder; raises where one is missing."""
+        found = {}
+        for i in (1, 2, 3):
+            usual = self.source(split, i)
+            found[f"source{i}"] = usual if usual.exists() else min(self.data_root.rglob(usual.name), default=usual)
         missing = [str(p) for p in found.values() if not p.exists()]
         if missing:
             raise FileNotFoundError(", ".join(missing))

@@ -7,13 +7,18 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinspan.schema import SOURCE_COLUMNS, TRUTH_COLUMNS
 
 
 def _load(spark: SparkSession, path: str, columns: list[str], limit: int | None) -> DataFrame:
-    """All columns as strings; an empty field is "" and NA stays NA; raises where a column is missing, leaves out others."""
-    df = spark.read.options(sep="\t", header=True, escape='"', multiLine=True, encoding="UTF-8", inferSchema=False).csv(str(path))
+    """All columns as strings; an empty field is "" and NA stays NA; raises where a column is missing, leaves out others.
+
+    Files are split among tasks unless a quoted field goes over a line's end, which a line with an odd number of quotes tells."""
+    value = F.col("value")
+    open_ = spark.read.text(str(path)).where((F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1).head(1)
+    df = spark.read.options(sep="\t", header=True, escape='"', multiLine=bool(open_), encoding="UTF-8", inferSchema=False).csv(str(path))
     if missing := [c for c in columns if c not in df.columns]:
         raise ValueError(f"{path} is missing expected columns: {missing}")
     df = df.select(*columns).na.fill("")

@@ -74,3 +74,20 @@ def test_output_rules(spark):
     assert {r[1] for r in output.enforce_valid(p, c, valid).select("source1_entity_id", "candidate_entity_id").collect()} == {"S2-9"}
     frame = output.output_frame(pairs(spark, ("a", "S2-2"), ("a", "S2-1")), ids(spark, "a", "b"), "matched_entity_ids")
     assert {tuple(r) for r in frame.collect()} == {("a", "S2-1,S2-2"), ("b", "")}
+
+
+def test_any_model_with_predict_proba_scores(spark):
+    class Mean:
+        """A model as other libraries give it."""
+
+        def predict_proba(self, x):
+            p = x.mean(axis=1).clip(0, 1)
+            return [[1 - v, v] for v in p]
+
+    from kinspan.operators import models
+    from kinspan.operators.features import FEATURES
+
+    rows = [(f"S1-{i}", f"S2-{i}", "S2", *[i / 10 + (j % 2) / 10 for j in range(len(FEATURES))]) for i in range(5)]
+    df = spark.createDataFrame(rows, "source1_entity_id string, candidate_entity_id string, source string, " + ", ".join(f"{c} double" for c in FEATURES))
+    got = {r.source1_entity_id: r.score for r in models.score_pairs(df, Mean()).collect()}
+    assert got == pytest.approx({f"S1-{i}": i / 10 + 0.05 for i in range(5)}, abs=1e-6)

@@ -53,6 +53,36 @@ def test_validator_finds_each_fault(spark, tmp_path):
     assert got["not_a_candidate"][0] == "warning" and got["missing_required"][2] == "S1-3"
 
 
+def test_malformed_rows_have_their_line_numbers(spark, tmp_path):
+    s1 = write(tmp_path / "s1.tsv", "entity_id\n" + "".join(f"S1-{i}\n" for i in range(200)))
+    (tmp_path / "m").mkdir()
+    part = lambda lo, hi: "source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\t\n" if i != 150 else "broken\n" for i in range(lo, hi))
+    write(tmp_path / "m" / "part-0.tsv", part(0, 90))
+    write(tmp_path / "m" / "part-1.tsv", part(90, 200))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        got = rules(validate.validate_files(spark, str(tmp_path / "m"), None, s1))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got["malformed_row"] == ("error", 1, "line 000062: broken") and got["missing_required"][2] == "S1-150" and "extra_row" not in got
+
+
+def test_command_line(spark, tmp_path, capsys):
+    s1 = write(tmp_path / "s1.tsv", "entity_id\nS1-1\n")
+    s2 = write(tmp_path / "s2.tsv", "entity_id\nS2-1\n")
+    good = write(tmp_path / "g.tsv", "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1\n")
+    bad = write(tmp_path / "b.tsv", "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-9\n")
+    assert validate.main(["--matching", good, "--source1", s1, "--check-ids", s2]) == 0 and capsys.readouterr().out.endswith("PASS\n")
+    assert validate.main(["--matching", bad, "--source1", s1, "--check-ids", s2]) == 1 and "unknown_id (1): S2-9" in capsys.readouterr().out
+
+
+def test_sources_are_found_below_the_data_folder(tmp_path):
+    for i in (1, 2, 3):
+        (tmp_path / "deep" / str(i)).mkdir(parents=True)
+        write(tmp_path / "deep" / str(i) / f"test_source{i}.tsv", "x")
+    assert Paths(data=str(tmp_path)).discover("test")["source2"] == tmp_path / "deep" / "2" / "test_source2.tsv"
+
+
 @pytest.mark.parametrize(("text", "rule"), [("", "empty_file"), ("source1_entity_id,matched_entity_ids\n", "comma_separated"), ("a\tb\n", "unexpected_header")])
 def test_headers_that_stop(spark, tmp_path, text, rule):
     s1 = write(tmp_path / "s1.tsv", "entity_id\nS1-1\n")
