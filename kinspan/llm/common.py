@@ -97,7 +97,7 @@ def n_words(text: Column) -> Column:
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15 | 1
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -108,7 +108,7 @@ def _classes(base: DataFrame, shingle: int, lower: bool) -> np.ndarray:
             for _, s in shingle_sets(batch.column("text"), shingle, lower):
                 held.append(s)
                 size += len(s)
-                if size > 1 << 20:
+                if size > 1 << 18:
                     yield block(held)
                     held, size = [], 0
         if size:
