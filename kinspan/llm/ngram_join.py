@@ -301,6 +301,7 @@ def ngram_groups(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 10
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(np.array(s1, np.uint64).view(np.int64)), pa.array(np.array(s2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], names=["doc_id", "n", "s1", "s2", "keys"])
 
     sets = materialize(base.mapInArrow(indexed, f"doc_id {kind}, n int, s1 long, s2 long, keys array<long>"), "sets")
+    tables.unpersist()  # sets are written: nothing needs the tables again
     some = sets.where("n > 0 and doc_id is not null")
     classes = materialize(some.groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "keys")).alias("x")).select("s1", "s2", "n", F.col("x.doc_id").alias("rep"), "x.keys"), "classes")
     index = classes.select(F.explode("keys").alias("key"), F.col("rep").alias("doc_id"), "n")
