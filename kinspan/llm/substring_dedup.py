@@ -123,7 +123,8 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     Returns doc_id, n_words, n_removed, kept_sha256, kept_text.
 
     Null text counts as empty; rows of fewer words lose nothing; a row with a null doc_id neither removes nor loses
-    words; rows that share a doc_id do not remove from each other; an empty table gives no row; other columns are ignored."""
+    words; rows that share a doc_id do not remove from each other, and equal windows of one row are no ties to break; a very long text is one row, held whole by
+    one task; an empty table gives no row; other columns are ignored."""
     base = docs.select("doc_id", "text")
     steps = levels(window)
 
