@@ -85,6 +85,22 @@ def bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+#: Keys are dealt into so many cells; a cell is hot if it has over eight times its share of the rows and more rows than this.
+CELLS = 1 << 16
+HOT_ROWS = 4096
+
+
+def hot_cells(rows: DataFrame, key: str) -> Column | None:
+    """A condition that holds for the rows (already materialized) whose hashed key lies in a hot cell; None if no cell is hot.
+
+    Hot cells are fewer than an eighth of all, whatever the table. All rows are counted, with partial sums; only the numbers
+    of the hot cells come to the driver. It says which of two equal ways a key's rows take, never whether they count."""
+    cell = F.pmod(F.col(key), F.lit(CELLS)).cast("int")
+    bound = max(8 * rows.count() / CELLS, HOT_ROWS)
+    hot = [r.cell for r in rows.groupBy(cell.alias("cell")).count().where(F.col("count") > bound).collect()]
+    return cell.isin(hot) if hot else None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinspan.llm.common import byte_prefix, materialize, mix, pieces, span_hash, text_buffer, windows_of, within, words_of
+from kinspan.llm.common import byte_prefix, hot_cells, materialize, mix, pieces, span_hash, text_buffer, windows_of, within, words_of
 
 SECOND = 0x9FB21C651E98DF25
 
@@ -105,9 +105,18 @@ def _lists(col, row0: int, n: int, depth: int) -> list:
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    """rows (g, k, doc_id) with the smallest and largest doc_id that has (g, k), if they differ."""
-    w = Window.partitionBy("g", "k")
-    return rows.withColumn("lo", F.min("doc_id").over(w)).withColumn("hi", F.max("doc_id").over(w)).where("lo < hi")
+    """rows (g, k, doc_id) with the smallest and largest doc_id that has (g, k), if they differ.
+
+    Seeds that very many rows have go by partial minima and maxima and a join, which adaptive execution splits, not to one task."""
+    rows, w = materialize(rows, "seeds"), Window.partitionBy("g", "k")
+    hot = hot_cells(rows, "g")
+    usual = rows if hot is None else rows.where(~hot)
+    out = usual.withColumn("lo", F.min("doc_id").over(w)).withColumn("hi", F.max("doc_id").over(w)).where("lo < hi")
+    if hot is None:
+        return out
+    often = rows.where(hot)
+    ends = often.groupBy("g", "k").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    return out.unionByName(often.join(ends, ["g", "k"]))
 
 
 def _mixed(h: np.ndarray, place: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinspan.llm.common import byte_prefix, materialize, mix, span_hash, text_buffer
+from kinspan.llm.common import byte_prefix, hot_cells, materialize, mix, span_hash, text_buffer
 
 SEED = 40  # bytes of an anchor's own string
 SEGMENT = 1 << 19
@@ -172,19 +172,28 @@ def _anchored(docs: DataFrame, length: int) -> DataFrame:
                 row, s, e, n, off, g, c, many = _once(*found, length)
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), ths.take(pa.array(row)), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(off.astype(np.int16)), pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(many)], names=["doc_id", "th", "s", "e", "n", "off", "g", "c", "many"])
 
-    found = docs.mapInArrow(find, f"doc_id {schema_id}, th long, s int, e int, n short, off short, g long, c long, many boolean")
+    raw = materialize(docs.mapInArrow(find, f"doc_id {schema_id}, th long, s int, e int, n short, off short, g long, c long, many boolean"), "runs")
+    runs, times = raw.where("n > 0"), F.sum(F.when(F.col("many"), 2).otherwise(1))
+    hot = hot_cells(runs, "g")
     of_class = Window.partitionBy("g", "c")
     of_seed = Window.partitionBy("g")
     # one shuffle by g serves all three windows
-    found = found.repartition("g").withColumn("cnt", F.sum(F.when(F.col("many"), 2).otherwise(1)).over(of_class)).withColumn("nth", F.row_number().over(of_class.orderBy("doc_id", "th", "s")))
-    found = found.withColumn("m", F.sum((F.col("nth") == 1).cast("int")).over(of_seed))
-    found = materialize(found.where("n = 0 or cnt > 1 or m > 1").select("doc_id", "th", "s", "e", "n", "off", "g", "c", (F.col("cnt") == 1).alias("one"), (F.col("nth") == 1).alias("rep"), "m"), "anchors")
-    return found
+    found = (runs if hot is None else runs.where(~hot)).repartition("g").withColumn("cnt", times.over(of_class)).withColumn("nth", F.row_number().over(of_class.orderBy("doc_id", "th", "s")))
+    found = found.withColumn("m", F.sum((F.col("nth") == 1).cast("int")).over(of_seed)).withColumn("rep", F.col("nth") == 1)
+    if hot is not None:
+        # anchors that very many rows have go by partial sums and joins, which adaptive execution splits, not to one task
+        often, place = runs.where(hot), F.struct("doc_id", "th", "s")
+        kinds = often.groupBy("g", "c").agg(times.alias("cnt"), F.min(place).alias("first"))
+        kinds = kinds.join(kinds.groupBy("g").agg(F.count("*").alias("m")), "g")
+        found = found.drop("nth").unionByName(often.join(kinds, ["g", "c"]).withColumn("rep", place == F.col("first")).drop("first"))
+    inside = raw.where("n = 0").withColumns({"cnt": F.lit(1), "m": F.lit(0), "rep": F.lit(False)})
+    found = found.where("cnt > 1 or m > 1").drop("nth").unionByName(inside)
+    return materialize(found.select("doc_id", "th", "s", "e", "n", "off", "g", "c", (F.col("cnt") == 1).alias("one"), "rep", "m"), "anchors")
 
 
 def _held(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
     """One of each of the different runs that share an anchor, with its bytes."""
-    want = found.where("n > 0 and m > 1 and rep").groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "c", "s", "n", "off", "one", "m")).alias("want"))
+    want = found.where("n > 0 and m > 1 and rep").groupBy("doc_id", "th").agg(F.collect_set(F.struct("g", "c", "s", "n", "off", "one", "m")).alias("want"))
     kind = dict(docs.dtypes)["doc_id"]
     return docs.join(want, ["doc_id", "th"]).select("doc_id", "th", "text", "want").mapInArrow(lambda x: _contexts(x, length), f"g long, c long, s int, n short, off short, one boolean, m long, doc_id {kind}, th long, data binary")
 

@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from kinspan.llm.common import components
+from kinspan.llm.common import components, hot_cells
 from kinspan.llm.decontamination import contaminated, drop_contaminated
 from kinspan.llm.ngram_join import ngram_groups
 from kinspan.llm.quality_rules import quality_rules
@@ -73,7 +73,9 @@ def sets(rows, k, lower=False):
     return out
 
 
-def test_substring_dedup(spark, rows):
+@pytest.mark.parametrize("hot_rows", [0, 4096])
+def test_substring_dedup(spark, rows, monkeypatch, hot_rows):
+    monkeypatch.setattr("kinspan.llm.common.HOT_ROWS", hot_rows)
     first, want = {}, {}
     order = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
     for i, text, *_ in order:
@@ -92,7 +94,9 @@ def test_substring_dedup(spark, rows):
     assert got == want and any(v[1] for v in want.values())
 
 
-def test_a_whole_copy_settles_its_row_and_not_its_id(spark):
+@pytest.mark.parametrize("hot_rows", [0, 4096])
+def test_a_whole_copy_settles_its_row_and_not_its_id(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr("kinspan.llm.common.HOT_ROWS", hot_rows)
     rng = random.Random(6)
     text = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
     a, b, c = text(40), text(40), text(15)
@@ -114,8 +118,9 @@ def test_levels():
     assert levels(13) == [7, 13] and levels(50) == [7, 13, 25, 50] and levels(3) == [3]
 
 
-@pytest.mark.parametrize("length", [60, 200])
-def test_suffix_dedup(spark, rows, length):
+@pytest.mark.parametrize(("length", "hot_rows"), [(60, 4096), (60, 0), (200, 4096), (200, 0)])
+def test_suffix_dedup(spark, rows, monkeypatch, length, hot_rows):
+    monkeypatch.setattr("kinspan.llm.common.HOT_ROWS", hot_rows)
     texts = [(i, (t or "").encode()) for i, t, *_ in rows]
     count = Counter(b[a : a + length] for _, b in texts for a in range(len(b) - length + 1))
     want = {}
@@ -131,6 +136,12 @@ def test_suffix_dedup(spark, rows, length):
     assert all(sum(x.e - x.s for x in r.removed) == r.n_removed and len(r.removed) == r.n_spans and hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in out)
 
 
+def test_only_cells_with_many_times_their_share_are_hot(spark):
+    rows = spark.createDataFrame([(g,) for g in [7] * 5000 + list(range(-3000, 3000))], "g long")
+    assert {r.g for r in rows.where(hot_cells(rows, "g")).collect()} == {7}
+    assert hot_cells(rows.where("g <> 7"), "g") is None and hot_cells(rows.limit(0), "g") is None
+
+
 def test_very_frequent_anchors_are_counted_string_by_string(spark, rows, monkeypatch):
     usual = {r[0]: tuple(r[1:]) for r in suffix_dedup(frame(spark, rows), 80).collect()}
     monkeypatch.setattr("kinspan.llm.suffix_dedup.IN_TASK", 1)
