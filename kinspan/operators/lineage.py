@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed and written to spark.checkpoint.dir (where that is unset and the session runs on one machine, a folder of our own)."""
-    context = df.sparkSession.sparkContext
+def prepare(spark: SparkSession) -> None:
+    """Sets the checkpoint folder to spark.checkpoint.dir; where that is unset and the session runs on one machine, to a folder of our own."""
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="kinspan-"))
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed and written to the checkpoint folder."""
+    prepare(df.sparkSession)
     return df.checkpoint()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinspan.operators.features import FEATURES
+from kinspan.operators.lineage import prepare
 from kinspan.schema import PAIR, SEED
 
 
@@ -48,7 +49,10 @@ def gbt(rounds: int = 400, **more) -> GBTClassifier:
 
 
 def fit_gbt(train: DataFrame, val: DataFrame | None = None, rounds: int = 400) -> PipelineModel:
-    """Fits on rows with FEATURES and label; with val, rounds stop once its error no longer falls."""
+    """Fits on rows with FEATURES and label; with val, rounds stop once its error no longer falls.
+
+    Residuals are checkpointed every ten rounds, so a round's tasks stay as small as the first one's."""
+    prepare(train.sparkSession)
     data = train.withColumn("is_val", F.lit(False))
     more = {}
     if val is not None:
