@@ -56,9 +56,9 @@ def _clean() -> None:
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cuts the lineage: writes df as Parquet into the shared folder and reads it again."""
+    """Cuts the lineage: writes df as Parquet into the shared folder and reads it again. Row groups are small, as a task holds one while it writes or reads."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
