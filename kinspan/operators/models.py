@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinspan.operators import boosting
 from kinspan.operators.features import FEATURES
-from kinspan.operators.lineage import prepare
 from kinspan.schema import PAIR, SEED
 
 
@@ -51,14 +51,13 @@ def gbt(rounds: int = 400, **more) -> GBTClassifier:
 def fit_gbt(train: DataFrame, val: DataFrame | None = None, rounds: int = 400) -> PipelineModel:
     """Fits on rows with FEATURES and label; with val, rounds stop once its error no longer falls.
 
-    Residuals are checkpointed every ten rounds, so a round's tasks stay as small as the first one's."""
-    prepare(train.sparkSession)
+    The trees are grown by boosting.fit and put in Spark's own model, whose fit would run a job with a shuffle for each level of each tree."""
     data = train.withColumn("is_val", F.lit(False))
     more = {}
     if val is not None:
         data, more = data.unionByName(val.withColumn("is_val", F.lit(True))), {"validationIndicatorCol": "is_val", "validationTol": 0.0005}
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    return PipelineModel([assembler, gbt(rounds, **more).fit(assembler.transform(data.withColumn("label", F.col("label").cast("double"))))])
+    return PipelineModel([assembler, boosting.fit(data, FEATURES, gbt(rounds, **more))])
 
 
 def fit_logistic(train: DataFrame, rounds: int = 1000) -> PipelineModel:
