@@ -92,11 +92,12 @@ def _binned(names: list[str], cuts: list[np.ndarray], batches: Iterator[pa.Recor
 class Rows:
     """Binned rows, how far their margins are, and in which node of the tree in growth each one is."""
 
-    def __init__(self, parts: list[tuple], width: int, seed: int, rate: float):
+    def __init__(self, parts: list[tuple], width: int, seed: int, rate: float, bins: int = 32):
         joined = lambda i, kind: np.frombuffer(b"".join(p[i] for p in parts), kind)
         self.y, self.val, self.key = joined(1, np.uint8) * 2.0 - 1, joined(2, np.uint8) > 0, joined(3, np.uint64)
         blocks = [np.frombuffer(p[4], np.uint8).reshape(width, -1) for p in parts]
         self.bins = np.concatenate(blocks, axis=1) if blocks else np.zeros((width, 0), np.uint8)
+        self.pairs = [self.bins[f].astype(np.uint16) * bins + self.bins[f + 1] for f in range(0, width - 1, 2)]
         self.seed, self.rate, self.validated = seed, rate, bool(self.val.any())
         self._restart()
 
@@ -105,7 +106,7 @@ class Rows:
         self._plant()
 
     def _plant(self) -> None:
-        self.depth, self.nodes, self.packed = 0, {0: np.arange(len(self.y), dtype=np.int32)}, None
+        self.depth, self.nodes, self.packed = 0, {0: np.arange(len(self.y))}, None
 
     def _weigh(self) -> None:
         """Residuals and counts of the rows that this tree is drawn: by a hash of the row, so equal rows are drawn together."""
@@ -136,7 +137,7 @@ class Rows:
             self.depth += 1
 
     def sums(self, wanted: list[int], bins: int) -> np.ndarray:
-        """Counts and residuals by node, feature and bin."""
+        """Counts and residuals by node, feature and bin: two features are counted at once, and their sums follow from those of both."""
         if self.packed is None:
             self._weigh()
         out = np.zeros((len(wanted), len(self.bins), bins, 2), np.int64)
@@ -148,11 +149,15 @@ class Rows:
             for start in range(0, len(self.y) if rows is None else len(rows), CHUNK):
                 part = slice(start, start + CHUNK) if rows is None else rows[start : start + CHUNK]
                 weights = self.packed[part]
-                for f, column in enumerate(self.bins):
-                    packed = np.bincount(column[part], weights, bins)
-                    n = np.floor((packed + ONE / 2) / ONE)
-                    out[i, f, :, 0] += n.astype(np.int64)
-                    out[i, f, :, 1] += (packed - n * ONE).astype(np.int64)
+                packed = np.zeros((len(self.bins), bins))
+                for k, column in enumerate(self.pairs):
+                    both = np.bincount(column[part], weights, bins * bins).reshape(bins, bins)
+                    packed[2 * k], packed[2 * k + 1] = both.sum(axis=1), both.sum(axis=0)
+                if len(self.bins) % 2:
+                    packed[-1] = np.bincount(self.bins[-1][part], weights, bins)
+                n = np.floor((packed + ONE / 2) / ONE)
+                out[i, :, :, 0] += n.astype(np.int64)
+                out[i, :, :, 1] += (packed - n * ONE).astype(np.int64)
         return out
 
     def loss(self) -> np.ndarray:
@@ -175,7 +180,7 @@ def _answers(fit: str, made: Callable[[list], Rows], done, trees: list[dict], le
     rows = _kept.get((fit, partition))
     if rows is None:
         rows = made(list(parts))
-        if sum(x.bins.nbytes + 60 * len(x.y) for x in [*_kept.values(), rows]) <= KEPT:
+        if sum(2 * x.bins.nbytes + 60 * len(x.y) for x in [*_kept.values(), rows]) <= KEPT:
             _kept[fit, partition] = rows
     else:
         for _ in parts:  # a worker that leaves input unread is not used again
@@ -286,7 +291,7 @@ def fit(train: DataFrame, names: list[str], of: GBTClassifier) -> GBTClassificat
     bins, width = of.getMaxBins(), len(names)
     cuts = thresholds(train, names, bins)
     parts = cut(train.select(*names, "label", "is_val").mapInArrow(partial(_binned, names, cuts), "n long, label binary, is_val binary, key binary, bins binary"))
-    made = partial(Rows, width=width, seed=p["seed"], rate=of.getSubsamplingRate())
+    made = partial(Rows, width=width, seed=p["seed"], rate=of.getSubsamplingRate(), bins=bins)
     total = parts.agg(F.sum("n")).first()[0]
     if not total:
         raise ValueError("no rows to train on")
